@@ -6,6 +6,7 @@ is a few nanoseconds a character instead of a Python call. NUL inside a text is
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
@@ -15,6 +16,7 @@ import numpy as np
 SPAN = 0x110000
 DROP = 0xFFFFFFFF
 BATCH_CHARS = 2_000_000
+_JAMO = re.compile("[\u1100-\u11ff]")
 
 
 def is_invisible(code: int) -> bool:
@@ -59,12 +61,13 @@ def letter_table() -> np.ndarray:
     return table
 
 
-@lru_cache(1)
-def fold_table() -> np.ndarray:
-    """Letters and digits folded by case and width, accents off; everything else dropped.
+@lru_cache(2)
+def fold_table(marks: bool = False) -> np.ndarray:
+    """Letters and digits folded by case and width; everything else dropped.
 
-    Marks on letters are dropped whether composed or not, so either spelling folds alike
-    (Hangul jamo excepted: compose those first).
+    Without ``marks``, accents and voicing marks are off whether composed or not, so either
+    spelling folds alike (Hangul jamo excepted: compose those first). With ``marks`` they
+    count; compose the text first.
     """
     look, letter = look_table(), letter_table()
     table = np.full(SPAN, DROP, dtype=np.uint32)
@@ -77,7 +80,7 @@ def fold_table() -> np.ndarray:
         if 0x2E80 <= seen < 0xA000 and not 0x3040 <= seen < 0x3100 or 0xAC00 <= seen < 0xD7A4:
             table[code] = seen
             continue
-        base = unicodedata.normalize("NFD", chr(seen))[0].casefold()
+        base = (chr(seen) if marks else unicodedata.normalize("NFD", chr(seen))[0]).casefold()
         table[code] = ord(base[0]) if base else DROP
     table[0x20000:0x32000] = np.arange(0x20000, 0x32000, dtype=np.uint32)
     return table
@@ -118,13 +121,13 @@ def looks(texts: list[str]) -> list[str]:
     return out
 
 
-def folded(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+def folded(texts: list[str], marks: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """All texts' folded letters as one array, and the offset of each text in it (n + 1)."""
     joined = join(texts)
-    if any("ᄀ" <= c <= "ᇿ" for c in set(joined)):
+    if marks or _JAMO.search(joined):
         joined = unicodedata.normalize("NFC", joined)
     raw = codes(joined)
-    table = fold_table().copy()
+    table = fold_table(marks).copy()
     table[0] = 0
     mapped = table[raw]
     mapped = mapped[mapped != DROP]

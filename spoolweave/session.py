@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,9 +49,30 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the shared folder."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut lineage: write the rows once as a table in the shared checkpoint folder and read them back.
+
+    Unlike a plain recomputation the input is evaluated once, and the copy outlives any
+    executor. The table is removed when the driver ends.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/spoolweave-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    _written.append((spark, path))
+    return spark.read.schema(df.schema).parquet(path)
+
+
+_written: list[tuple[SparkSession, str]] = []
+
+
+@atexit.register
+def _remove_tables() -> None:
+    for spark, path in _written:
+        try:
+            jvm = spark.sparkContext._jvm
+            where = jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+        except Exception:  # the session may be gone; the folder is temporary
+            return
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
