@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spoolweave.llm import lookalike, sentences, turns
+from spoolweave.llm import lookalike, pairs, pieces, repetition, sentences, turns
 from spoolweave.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,19 @@ def p1_turns(spark: SparkSession, d: str) -> DataFrame:
     return turns.speaker_turns(table(spark, d, "sentence_unit"), table(spark, d, "speaker_roster"), text_too=True)
 
 
+CANDIDATE = ["episode_id", "block_id", "source"]
+
+
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    tune(spark)
+    return repetition.repetitive(table(spark, d, "block_candidate"), "text", CANDIDATE)
+
+
+def p2_shares(spark: SparkSession, d: str) -> DataFrame:
+    tune(spark)
+    return repetition.repetition_shares(table(spark, d, "block_candidate"), "text", CANDIDATE)
+
+
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     tune(spark)
     units, texts = table(spark, d, "sentence_unit"), table(spark, d, "text_artifact")
@@ -61,8 +74,25 @@ def p4_sentences(spark: SparkSession, d: str) -> DataFrame:
     return out
 
 
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    tune(spark)
+    found = pieces.block_pieces(table(spark, d, "alignment_block"), table(spark, d, "sentence_unit"))
+    return found.select("episode_id", "block_id", "piece_no", "first_sentence_id", "last_sentence_id")
+
+
+def p5_parts(spark: SparkSession, d: str) -> DataFrame:
+    tune(spark)
+    return pieces.long_sentence_parts(table(spark, d, "alignment_block"), table(spark, d, "sentence_unit"))
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    tune(spark)
+    return pairs.broken_pairs(table(spark, d, "llm_decision"))
+
+
 def queries() -> dict[str, Query]:
-    return {"p1_found": p1_found, "p1_turns": p1_turns, "p3_found": p3_found, "p3_forms": p3_forms, "p4_found": p4_found, "p4_sentences": p4_sentences}
+    every = (p1_found, p1_turns, p2_found, p2_shares, p3_found, p3_forms, p4_found, p4_sentences, p5_found, p5_parts, p6_found)
+    return {f.__name__: f for f in every}
 
 
 def oracle_sql() -> dict[str, str]:
