@@ -121,10 +121,15 @@ def looks(texts: list[str]) -> list[str]:
     return out
 
 
+def has_jamo(text: str) -> bool:
+    """Whether Hangul is spelled in jamo somewhere, so that it must be composed first."""
+    return _JAMO.search(text) is not None
+
+
 def folded(texts: list[str], marks: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """All texts' folded letters as one array, and the offset of each text in it (n + 1)."""
     joined = join(texts)
-    if marks or _JAMO.search(joined):
+    if marks or has_jamo(joined):
         joined = unicodedata.normalize("NFC", joined)
     raw = codes(joined)
     table = fold_table(marks).copy()
