@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from spoolweave.llm import lexicon as lx
 from spoolweave.llm.lookalike import forms
 from spoolweave.llm.peg import choice, node, opt, seq, star, tok
+from spoolweave.session import cut
 
 BLOCK_SECONDS = 600.0
 MIN_HINT = 0.7
@@ -179,8 +180,10 @@ def _flipped(speaker, times, speakers):
 def spoken_units(units: DataFrame, roster: DataFrame, text_too: bool = False, block_seconds: float = BLOCK_SECONDS) -> DataFrame:
     """Units with something said, their speaker, and the time block they lie in."""
     block = F.floor(F.col("start_sec") / block_seconds)
-    rows = parsed_units(units, text_too).withColumn("block", block).repartition("episode_id", "block").dropDuplicates(["episode_id", "block", "sentence_id"])
-    blocks = rows.select("episode_id", "block").distinct().join(roster_labels(roster), "episode_id")
+    # parsed once: the copy is read by the labels' join, the carried states and the turns
+    parsed = cut(parsed_units(units, text_too).withColumn("block", block))
+    rows = parsed.repartition("episode_id", "block").dropDuplicates(["episode_id", "block", "sentence_id"])
+    blocks = parsed.select("episode_id", "block").distinct().join(roster_labels(roster), "episode_id")
     rows = rows.join(blocks, ["episode_id", "block"]).withColumn("label", F.col("labels")[F.col("label_key")]).drop("labels")
     flip = F.col("label").isNull() & F.col("hinted") & (F.size("speakers") == 2)
     run = Window.partitionBy("episode_id", "block").orderBy("start_sec", "sentence_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
