@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spoolweave.llm import lookalike, pairs, pieces, repetition, sentences, turns
+from spoolweave.llm import leaks, lookalike, pairs, pieces, repetition, sentences, turns
 from spoolweave.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -90,8 +90,18 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return pairs.broken_pairs(table(spark, d, "llm_decision"))
 
 
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    tune(spark)
+    return leaks.leaked_items(table(spark, d, "documents"), table(spark, d, "eval_item")).select("doc_id", "item_id")
+
+
+def p7_leaks(spark: SparkSession, d: str) -> DataFrame:
+    tune(spark)
+    return leaks.leaked_items(table(spark, d, "documents"), table(spark, d, "eval_item"))
+
+
 def queries() -> dict[str, Query]:
-    every = (p1_found, p1_turns, p2_found, p2_shares, p3_found, p3_forms, p4_found, p4_sentences, p5_found, p5_parts, p6_found)
+    every = (p1_found, p1_turns, p2_found, p2_shares, p3_found, p3_forms, p4_found, p4_sentences, p5_found, p5_parts, p6_found, p7_found, p7_leaks)
     return {f.__name__: f for f in every}
 
 
