@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spoolweave.llm import languages, leaks, lookalike, pairs, pieces, repetition, sentences, turns
+from spoolweave.llm import languages, leaks, lookalike, mixing, pairs, pieces, repetition, sentences, turns
 from spoolweave.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -100,6 +100,16 @@ def p7_leaks(spark: SparkSession, d: str) -> DataFrame:
     return leaks.leaked_items(table(spark, d, "documents"), table(spark, d, "eval_item"))
 
 
+def p8_mix(spark: SparkSession, d: str) -> DataFrame:
+    tune(spark)
+    return mixing.mix_sources(table(spark, d, "documents"), table(spark, d, "mix_target"))
+
+
+def p8_shares(spark: SparkSession, d: str) -> DataFrame:
+    tune(spark)
+    return mixing.mix_shares(table(spark, d, "documents"), table(spark, d, "mix_target"))
+
+
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     tune(spark)
     return languages.mislabelled(table(spark, d, "documents"))
@@ -111,7 +121,7 @@ def p9_segments(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    every = (p1_found, p1_turns, p2_found, p2_shares, p3_found, p3_forms, p4_found, p4_sentences, p5_found, p5_parts, p6_found, p7_found, p7_leaks, p9_found, p9_segments)
+    every = (p1_found, p1_turns, p2_found, p2_shares, p3_found, p3_forms, p4_found, p4_sentences, p5_found, p5_parts, p6_found, p7_found, p7_leaks, p8_mix, p8_shares, p9_found, p9_segments)
     return {f.__name__: f for f in every}
 
 
