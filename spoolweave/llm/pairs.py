@@ -258,7 +258,7 @@ def defect(pair: Pair, model: crf.Crf) -> str | None:
         return "refusal"
     if sizes[ECHO] * 2 >= total:
         return "copied_prompt"
-    if sizes[FOREIGN] * 2 >= total:
+    if sizes[FOREIGN] * 2 >= total and pair.languages and pair.spoken not in pair.languages:
         return "other_language"
     if tags[-1] == UNFINISHED and pair.left > OPEN_SHARE:
         return "truncated"
