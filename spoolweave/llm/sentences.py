@@ -112,6 +112,9 @@ SYMBOLS = 12
 START = 0
 
 
+BEFORE_CLOSER = regex.compile(f"{GAP}*[»›]|[\"”“»«'’)\\]）」』]", regex.V0)
+
+
 def _pack(content: int, first: int, ended: int, straight: int, depth: int) -> int:
     return content + 2 * first + 4 * ended + 8 * straight + 16 * depth
 
@@ -186,7 +189,7 @@ def lex(text: str, lo: int = 0, hi: int | None = None) -> Iterator[tuple[int, in
                         continue
                 if not han and "." not in m.group() and follows and follows.isalpha() and follows.islower():
                     continue
-                if not (han or hangul) and follows and not UPPER_NEXT.match(text, b) and follows not in "\"”“»«')]）」』’":
+                if not (han or hangul) and follows and not UPPER_NEXT.match(text, b) and not BEFORE_CLOSER.match(text, b):
                     continue
                 symbol = TERM
             elif kind == "dots":
