@@ -62,24 +62,29 @@ def _running(sizes: pd.Series) -> pd.Series:
 
 def char_timeline(text: Column, runs: Column, start: Column, end: Column) -> Column:
     """Time and confidence of each character of a result: its run's, or an even share of the interval (A4)."""
-    n = F.length(text)
-    duration = F.greatest(end - start, F.lit(0.01))
-    places = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
-    count = F.size(runs)
-
-    def of_run(i: Column) -> Column:
-        r = F.get(runs, F.least(i, count - 1))
-        span = r["audioTimeRange"]
-        return F.struct(
-            F.coalesce(span["startSeconds"], start).cast("double").alias("start_sec"),
-            F.coalesce(span["endSeconds"], end).cast("double").alias("end_sec"),
-            F.coalesce(r["transcriptionConfidence"], F.lit(tb.DEFAULT_CONFIDENCE)).cast("double").alias("confidence"),
-        )
-
-    def even(i: Column) -> Column:
-        return F.struct((start + duration * i / n).cast("double").alias("start_sec"), (start + duration * (i + 1) / n).cast("double").alias("end_sec"), F.lit(tb.DEFAULT_CONFIDENCE).alias("confidence"))
-
-    return F.when(F.coalesce(count, F.lit(0)) > 0, F.transform(places, of_run)).otherwise(F.transform(places, even))
+    facts = F.struct(F.length(text).alias("n"), start.cast("double").alias("s"), F.greatest(end - start, F.lit(0.01)).cast("double").alias("d"), end.cast("double").alias("e"))
+
+    def spread(x: Column) -> Column:
+        # the length is taken once a text, not once a character
+        places = F.when(x["n"] > 0, F.sequence(F.lit(0), x["n"] - 1)).otherwise(F.array().cast("array<int>"))
+        count = F.size(runs)
+
+        def of_run(i: Column) -> Column:
+            r = F.get(runs, F.least(i, count - 1))
+            return F.struct(
+                F.coalesce(r["audioTimeRange"]["startSeconds"], x["s"]).cast("double").alias("start_sec"),
+                F.coalesce(r["audioTimeRange"]["endSeconds"], x["e"]).cast("double").alias("end_sec"),
+                F.coalesce(r["transcriptionConfidence"], F.lit(tb.DEFAULT_CONFIDENCE)).cast("double").alias("confidence"),
+            )
+
+        def even(i: Column) -> Column:
+            return F.struct(
+                (x["s"] + x["d"] * i / x["n"]).cast("double").alias("start_sec"), (x["s"] + x["d"] * (i + 1) / x["n"]).cast("double").alias("end_sec"), F.lit(tb.DEFAULT_CONFIDENCE).alias("confidence")
+            )
+
+        return F.when(F.coalesce(count, F.lit(0)) > 0, F.transform(places, of_run)).otherwise(F.transform(places, even))
+
+    return tx.let(facts, spread)
 
 
 def padded_timeline(timeline: Column, length: Column) -> Column:
