@@ -75,7 +75,9 @@ def check_outputs(spark: SparkSession, root: str, expected: dict[str, int | None
     """Row counts of the written artifacts; raises where one is missing or has not the rows expected (V3)."""
     found = {}
     for name, rows in expected.items():
-        n = spark.read.json(f"{root.rstrip('/')}/{name}").count()
+        n, broken = spark.read.text(f"{root.rstrip('/')}/{name}").agg(F.count("*"), F.count_if(F.try_parse_json("value").isNull())).first()
+        if broken:
+            raise RuntimeError(f"{name}: {broken} lines are not JSON")
         if rows is not None and n != rows:
             raise RuntimeError(f"{name}: {n} rows written, {rows} expected")
         found[name] = n

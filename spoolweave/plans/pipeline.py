@@ -36,6 +36,7 @@ def anchor_candidates(blocks: DataFrame, like: DataFrame) -> DataFrame:
         "char_start": F.col("char_start"),
         "char_end": F.col("char_end"),
         "local_alignment_score": F.col("stability_score"),
+        "alignment_score": F.col("stability_score"),
         "usable_for_agreement": F.lit(True),
         "boundary_contamination": F.lit(False),
         "skipped": F.lit(False),
@@ -52,7 +53,7 @@ def run_episodes(spark: SparkSession, folder: str, prefix: str | None = None, sw
     units = units.join(segmentation.block_membership(blocks), ["episode_id", "sentence_id"], "left")
     texts = timeline.select("episode_id", F.lit("apple").alias("source"), F.col("full_text").alias("raw_text")).unionByName(episodes.engine_texts(files))
     aligned = cut(alignment.align_engines(texts))
-    found = cut(spans.block_candidates(blocks, texts, aligned, swapped=swapped))
+    found = cut(spans.block_candidates(blocks, texts, aligned, swapped=swapped).withColumn("alignment_score", F.col("local_alignment_score")))
     candidates = found.unionByName(anchor_candidates(blocks, found))
     return run_fusion(units, blocks, candidates, punctuate)
 
