@@ -65,6 +65,8 @@ LEXER = regex.compile(
         (
             f"(?P<noise>(?i:{lx.NOTE}|{lx.STAMP}))",
             "(?P<brk>[\\r\\n\\u2028\\u2029\\x0b\\x0c\\x85]+)",
+            # a time of day ends a sentence before a capital
+            f"(?P<clock>(?<![\\w])[ap]\\.[ \\u00a0]?m\\.{INV}(?={GAP}+[\"“„«]?\\p{{Lu}}|{GAP}*(?:$|[\\r\\n])))",
             # dots that end nothing: initials, numbers, abbreviations, ordinals, list numbers
             "(?P<skip>(?<![\\w])(?i:v|ver|vol|no|nr)\\.?\\d+(?:[.,]\\d+)*"
             f"|\\d+(?:[.,:]\\d+)+|\\d{{1,2}}\\.(?= {MONTH})|(?<=(?:^|[\\r\\n])[ \\t]*)\\d{{1,3}}[.)．](?=\\s)"
@@ -179,7 +181,7 @@ def lex(text: str, lo: int = 0, hi: int | None = None) -> Iterator[tuple[int, in
                 symbol = BREAK
             elif kind == "strong":
                 symbol = TERM
-            elif kind == "abbr":
+            elif kind in ("abbr", "clock"):
                 yield from ((y, p, b) for y, p in ((CONTENT, a), (TERM, a)) if lo <= p < hi)
                 continue
             elif kind == "latin":

@@ -22,6 +22,7 @@ CASES = [
     '"정말입니까?" 하고 물었습니다. |"길이 막혀서 정리했습니다." |이것은 v46.0입니다.',
     "[00:03:33] (笑) えっと、うん。|窓口に行きました[音楽]。",
     "Well... the courier never stored it, i.e. nobody did. |Ｍｒ. Ｍｏｒｏｖａ left at 5 p.m. with us.",
+    "The owner left at 5 p.m. |Before that, she came at 3.30 p.m. with maps.",
     "[Host]\nThe road was blocked. |(laughter) |Yes.".replace("(laughter) |", "(laughter) ").replace("blocked. |", "blocked. ").replace("Yes", "|Yes"),
 ]
 
