@@ -44,6 +44,7 @@ ROLE_WORDS = {
     "guest": "guest gast invité invitée invitado invitada ゲスト 語り手 話し手 嘉宾 来宾 客人 손님 게스트 출연자",
     "narrator": "narrator narr. narr narration sprecher sprecherin erzähler erzählerin narrateur narratrice narrador narradora ナレーター ナレーション 語り 旁白 解说 해설 내레이터 나레이터",
 }
+ROLE_OF = {word: role for role, words in ROLE_WORDS.items() for word in words.split()}
 HONORIFIC = re.compile("(?:さん|さま|様|氏|くん|君|ちゃん|先生|老师|先生|女士|님|씨)$")
 
 _space = tok("", "[ \\t\\n]+")
@@ -64,11 +65,18 @@ BODY = node("body", star(choice(_note, _stamp, FILLER, _space, WORDS, OTHER)))
 UNIT = seq(MARKS, opt(LABEL), MARKS, BODY)
 
 
+def role_key(label: str | None) -> str | None:
+    """The key under which a roster's labels hold the speaker of a role, if the label is a role word."""
+    role = _ROLES.get(label) if label is not None else None
+    return f"#{role}" if role else None
+
+
 def key_of(name: str) -> str:
     """The spelling-free key of a label or a display name (already in consistent form)."""
     return HONORIFIC.sub("", name.casefold().strip()).strip()
 
 
+_ROLES = {key_of(f): role for f, role in zip(forms(list(ROLE_OF)), ROLE_OF.values(), strict=True)}
 SPEECH = re.compile("[^\\W_]")
 SPACES = re.compile("[ \\t\\n]+")
 TIDY = re.compile("^[\\s、,;:—–-]+|(?<=[\\s])(?=[、。,.!?])")
@@ -116,6 +124,7 @@ def _parse(batches: Iterator[pa.RecordBatch], text_too: bool) -> Iterator[pa.Rec
             "start_sec": batch.column("start_sec"),
             "hinted": batch.column("hinted"),
             "label_key": pa.array(keys, pa.string()),
+            "role_key": pa.array([role_key(k) for k in keys], pa.string()),
             "said": pa.array(said, pa.bool_()),
         }
         if text_too:
@@ -128,7 +137,7 @@ def parsed_units(units: DataFrame, text_too: bool = False) -> DataFrame:
     hinted = F.exists("boundary_hints", lambda h: (h["reason"] == CHANGE_REASON) & (h["confidence"] >= MIN_HINT))
     slim = units.select("episode_id", "sentence_id", "start_sec", "end_sec", "text", F.coalesce(hinted, F.lit(False)).alias("hinted"))
     types = dict(slim.dtypes)
-    schema = f"episode_id {types['episode_id']}, sentence_id {types['sentence_id']}, start_sec double, hinted boolean, label_key string, said boolean"
+    schema = f"episode_id {types['episode_id']}, sentence_id {types['sentence_id']}, start_sec double, hinted boolean, label_key string, role_key string, said boolean"
     if text_too:
         schema += ", end_sec double, clean string, own string"
     slim = slim.withColumn("start_sec", F.col("start_sec").cast("double")).withColumn("end_sec", F.col("end_sec").cast("double"))
@@ -148,8 +157,9 @@ def _label_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     swapped = key[:i] + key[i + 1] + key[i] + key[i + 2 :]
                     if swapped != key:
                         out.append((e, s, swapped, 3))
-            for word in forms(ROLE_WORDS.get((role or "").strip().casefold(), "").split()):
-                out.append((e, s, key_of(word), 1))
+            role = (role or "").strip().casefold()
+            if role in ROLE_WORDS:
+                out.append((e, s, f"#{role}", 1))
         yield pa.RecordBatch.from_pydict(
             {n: pa.array([o[i] for o in out], t) for i, (n, t) in enumerate((("episode_id", pa.string()), ("speaker_id", pa.string()), ("label_key", pa.string()), ("rank", pa.int32())))}
         )
@@ -183,8 +193,11 @@ def spoken_units(units: DataFrame, roster: DataFrame, text_too: bool = False, bl
     # parsed once: the copy is read by the labels' join, the carried states and the turns
     parsed = cut(parsed_units(units, text_too).withColumn("block", block))
     rows = parsed.repartition("episode_id", "block").dropDuplicates(["episode_id", "block", "sentence_id"])
-    blocks = parsed.select("episode_id", "block").distinct().join(roster_labels(roster), "episode_id")
-    rows = rows.join(blocks, ["episode_id", "block"]).withColumn("label", F.col("labels")[F.col("label_key")]).drop("labels")
+    blocks = parsed.select("episode_id", "block").distinct().join(roster_labels(roster).hint("merge"), "episode_id")
+    # a sort-merge join: the maps pack so well that their size in a shuffle says little of their size in memory
+    rows = rows.join(blocks.hint("merge"), ["episode_id", "block"])
+    label = F.coalesce(F.col("labels")[F.col("label_key")], F.col("labels")[F.col("role_key")])
+    rows = rows.withColumn("label", label).drop("labels", "role_key")
     flip = F.col("label").isNull() & F.col("hinted") & (F.size("speakers") == 2)
     run = Window.partitionBy("episode_id", "block").orderBy("start_sec", "sentence_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = rows.withColumn("flips", F.sum(flip.cast("int")).over(run)).withColumn(
