@@ -125,5 +125,21 @@ def queries() -> dict[str, Query]:
     return {f.__name__: f for f in every}
 
 
+P5_SQL = """WITH RECURSIVE u AS (SELECT DISTINCT ON (episode_id, sentence_id) episode_id, sentence_id, start_sec, coalesce(length(text), 0) AS len FROM sentence_unit),
+    b AS (SELECT DISTINCT ON (episode_id, block_id) episode_id, block_id, sentence_ids FROM alignment_block WHERE length(text) > 400),
+    m AS (SELECT DISTINCT episode_id, block_id, unnest(sentence_ids) AS sentence_id FROM b),
+    o AS (SELECT m.*, u.len, row_number() OVER w AS i, count(*) OVER (PARTITION BY m.episode_id, m.block_id) AS n FROM m JOIN u USING (episode_id, sentence_id)
+        WINDOW w AS (PARTITION BY m.episode_id, m.block_id ORDER BY u.start_sec, m.sentence_id)),
+    p AS (SELECT *, sum(len) OVER (PARTITION BY episode_id, block_id ORDER BY i) AS s FROM o),
+    e AS (SELECT a.episode_id, a.block_id, a.i, a.n, coalesce(max(c.i), a.i) AS j FROM p a LEFT JOIN p c ON c.episode_id = a.episode_id AND c.block_id = a.block_id AND c.i >= a.i AND c.s - a.s + a.len <= 400
+        GROUP BY a.episode_id, a.block_id, a.i, a.n),
+    x AS (SELECT e.*, CASE WHEN e.j = e.n THEN NULL WHEN e.j = e.i OR y.len + z.len > 400 THEN e.j + 1 ELSE e.j END AS nxt FROM e
+        JOIN p y ON y.episode_id = e.episode_id AND y.block_id = e.block_id AND y.i = e.j LEFT JOIN p z ON z.episode_id = e.episode_id AND z.block_id = e.block_id AND z.i = e.j + 1),
+    r AS (SELECT episode_id, block_id, 1 AS piece_no, i, j, nxt FROM x WHERE i = 1
+        UNION ALL SELECT x.episode_id, x.block_id, r.piece_no + 1, x.i, x.j, x.nxt FROM r JOIN x ON x.episode_id = r.episode_id AND x.block_id = r.block_id AND x.i = r.nxt)
+    SELECT r.episode_id, r.block_id, CAST(r.piece_no AS INT) AS piece_no, f.sentence_id AS first_sentence_id, l.sentence_id AS last_sentence_id FROM r
+    JOIN p f ON f.episode_id = r.episode_id AND f.block_id = r.block_id AND f.i = r.i JOIN p l ON l.episode_id = r.episode_id AND l.block_id = r.block_id AND l.i = r.j"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"p5_found": P5_SQL}
