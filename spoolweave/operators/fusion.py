@@ -269,6 +269,15 @@ def final_sentences(finals: DataFrame, units: DataFrame) -> DataFrame:
     return rows.join(own, ["episode_id", "sentence_id"]).withColumn("display_text", tx.conversation_display(tx.first_filled(F.col("display_text"), F.col("text"), default=""))["display_text"])
 
 
+def natural_text(text: Column, norm: Column, candidate_norms: list[Column]) -> Column:
+    """No unusual pattern, six characters or more without marks, and close (0.88) to some candidate."""
+    plain = tx.pattern_level(text).isNull() & (F.length(tx.no_punct(text)) >= 6)
+    near = F.lit(False)
+    for c in candidate_norms:
+        near = near | F.coalesce(sm.sequence_ratio(F.when(plain & (F.length(c) > 0), norm), F.when(plain & (F.length(c) > 0), c)) >= 0.88, F.lit(False))
+    return plain & near
+
+
 def agreement_metrics(df: DataFrame) -> DataFrame:
     """Pairwise ratios of the four texts and what they say together (M6)."""
     pairs = {"apple_whisper": ("apple", "whisper"), "apple_nemotron": ("apple", "nemotron"), "nemotron_whisper": ("nemotron", "whisper"), "qwen_apple": ("qwen", "apple"), "qwen_whisper": ("qwen", "whisper")}

@@ -82,7 +82,8 @@ def forgetful_fold(df: DataFrame, keys: list[str], order: list[str], fold: Fold,
     across = Window.partitionBy(*keys).orderBy(BLOCK)
     for _ in range(ROUNDS):
         incoming = done.select(*keys, BLOCK, "__in", F.lag("__after").over(across).alias("__new"))
-        stale = cut(incoming.where(~F.col("__in").eqNullSafe(F.col("__new"))).select(*keys, BLOCK, F.col("__new").alias("__in")))
+        # read from the written rows of the round before, so cheap enough to be read thrice
+        stale = incoming.where(~F.col("__in").eqNullSafe(F.col("__new"))).select(*keys, BLOCK, F.col("__new").alias("__in"))
         if stale.isEmpty():
             break
         again = source.join(stale, [*keys, BLOCK]).groupBy(*keys, BLOCK).applyInPandas(run, result_schema)

@@ -123,3 +123,9 @@ def test_metrics(spark):
     df = risk.compare(risk.wide_blocks(blocks(spark, [("b1", text, 0.0, 9.0)]), cands(spark, four("b1", text, whisper=("", 0.1)))))
     row = fu.agreement_metrics(df).first()
     assert row.apple_whisper_similarity == 0.0 and row.apple_nemotron_similarity == 1.0 and row.qwen_boundary_tainted
+
+
+def test_natural_text(spark):
+    rows = [("大きな図書館の地図です", "大きな図書館の地図です", True), ("大きな図書館の地図です", "別の長い話をしました", False), ("倒ブレット大きな図書館", "倒ブレット大きな図書館", False), ("短い", "短い", False), ("", "", False)]
+    df = spark.createDataFrame(rows, "t string, c string, want boolean")
+    assert all(r[0] == r[1] for r in df.select("want", fu.natural_text(F.col("t"), F.col("t"), [F.col("c")])).collect())
