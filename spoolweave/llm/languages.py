@@ -280,6 +280,14 @@ def language_segments(documents: DataFrame, key: str = "doc_id", train: int = TR
     return slim.mapInArrow(lambda it: _segments(it, filters, key), schema)
 
 
+def document_languages(segments: DataFrame, key: str = "doc_id") -> DataFrame:
+    """One row per document: the language with most letters, its share of them, and its confidence by letters."""
+    parts = segments.where("seg_lang is not null").groupBy(key, "seg_lang").agg(F.sum("letters").alias("n"), F.sum(F.col("confidence") * F.col("letters")).alias("w"))
+    best = F.max(F.struct("n", "seg_lang", (F.col("w") / F.col("n")).alias("c")))
+    rows = parts.groupBy(key).agg(best.alias("b"), F.sum("n").alias("all"), F.count("*").alias("languages"))
+    return rows.select(key, F.col("b.seg_lang").alias("lang"), F.col("b.c").alias("confidence"), (F.col("b.n") / F.col("all")).alias("share"), "languages")
+
+
 def mislabelled(documents: DataFrame, key: str = "doc_id", train: int = TRAIN_DOCS) -> DataFrame:
     """The stretches of documents without a label, with a wrong one, or in several languages."""
     filters = build_filters(training_rows(documents, train))

@@ -27,7 +27,6 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spoolweave.functions import charmap as cm
 from spoolweave.llm import crf
 from spoolweave.llm.lookalike import forms
 

@@ -55,7 +55,12 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p3_forms(spark: SparkSession, d: str) -> DataFrame:
     tune(spark)
-    return lookalike.consistent_text(table(spark, d, "sentence_unit"), "text", ["episode_id", "sentence_id"]).distinct()
+    units, texts = table(spark, d, "sentence_unit"), table(spark, d, "text_artifact")
+    out = None
+    for df, column, key in ((units, "text", "sentence_id"), (texts, "raw_text", "source"), (texts, "match_norm_text", "source")):
+        part = lookalike.consistent_text(df, column, ["episode_id", key]).select(F.lit(column).alias("field"), "episode_id", F.col(key).alias("id"), "form", "change")
+        out = part if out is None else out.unionByName(part)
+    return out.distinct()
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
@@ -120,8 +125,13 @@ def p9_segments(spark: SparkSession, d: str) -> DataFrame:
     return languages.language_segments(table(spark, d, "documents")).distinct()
 
 
+def p9_documents(spark: SparkSession, d: str) -> DataFrame:
+    tune(spark)
+    return languages.document_languages(languages.language_segments(table(spark, d, "documents")).distinct())
+
+
 def queries() -> dict[str, Query]:
-    every = (p1_found, p1_turns, p2_found, p2_shares, p3_found, p3_forms, p4_found, p4_sentences, p5_found, p5_parts, p6_found, p7_found, p7_leaks, p8_mix, p8_shares, p9_found, p9_segments)
+    every = (p1_found, p1_turns, p2_found, p2_shares, p3_found, p3_forms, p4_found, p4_sentences, p5_found, p5_parts, p6_found, p7_found, p7_leaks, p8_mix, p8_shares, p9_found, p9_segments, p9_documents)
     return {f.__name__: f for f in every}
 
 

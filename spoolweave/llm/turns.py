@@ -14,7 +14,8 @@ cross blocks. No task holds a whole episode.
 Defined cases: null text, or nothing left but labels, stamps, fillers and notes: the unit
 is dropped, its label still holds. Units before the first label have no known speaker and
 are left out. A unit delivered again counts once. Equal start times are ordered by
-sentence_id. A name that fits two speakers is no label. Episodes without a roster give
+sentence_id; a unit without a start, an id or an episode is left out. A name that fits two
+speakers is no label. Episodes without a roster give
 nothing; empty tables give none. end_sec that is null or before start_sec is ignored for
 the turn's end. Extra columns are ignored.
 """

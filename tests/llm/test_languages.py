@@ -38,6 +38,8 @@ def test_found(spark):
     assert {k: sorted(v) for k, v in got.items()} == want
     segments = lg.language_segments(df).where("doc_id = 902").collect()
     assert all(0 < r.confidence <= 1 and r.letters > 20 for r in segments)
+    whole = {r.doc_id: r for r in lg.document_languages(lg.language_segments(df).distinct()).collect()}
+    assert whole[902].languages == 3 and 0 < whole[902].share < 1 and whole[901].lang == "de" and whole[901].share == 1.0 and 904 not in whole
 
 
 def test_false_positives_are_corrected():
