@@ -137,7 +137,12 @@ def risk_flags(df: DataFrame) -> Column:
         ("boundary_contamination_suspected", edge),
         ("domain_error_phrase", error),
     ]
-    return F.array_sort(F.array_compact(F.array(*[F.when(no(t), F.lit(name)) for name, t in tests])))
+    flags = F.array_sort(F.array_compact(F.array(*[F.when(no(t), F.lit(name)) for name, t in tests])))
+    # flags about engines that were never asked say nothing
+    known = all("skip_reason" in df.schema[s].dataType.names for s in tb.SUPPORT)
+    asked = ~reduce(lambda a, b: a & b, [no(F.col(f"{s}.skip_reason").isin("qwen_high_confidence", "qwen_only_mode")) for s in tb.SUPPORT]) if known else F.lit(True)
+    dropped = F.array(*[F.lit(f"{s}_alignment_low") for s in tb.SUPPORT], F.lit("all_models_disagree"))
+    return F.when(asked, flags).otherwise(F.array_except(flags, dropped))
 
 
 def flagged_blocks(blocks: DataFrame, candidates: DataFrame) -> DataFrame:

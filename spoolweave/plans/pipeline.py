@@ -10,7 +10,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spoolweave.operators import alignment, fusion, reports, risk, segmentation, spans, validation
+from spoolweave.operators import alignment, candidates, fusion, reports, risk, segmentation, validation
 from spoolweave.session import cut
 from spoolweave.sources import episodes, sinks
 
@@ -44,7 +44,7 @@ def anchor_candidates(blocks: DataFrame, like: DataFrame) -> DataFrame:
     return blocks.select(*[own.get(n, F.lit(None)).cast(t).alias(n) for n, t in like.dtypes])
 
 
-def run_episodes(spark: SparkSession, folder: str, prefix: str | None = None, swapped: bool = True, punctuate: bool = True) -> Run:
+def run_episodes(spark: SparkSession, folder: str, prefix: str | None = None, swapped: bool = True, punctuate: bool = True, mode: str = "full") -> Run:
     """All stages from a folder of source files."""
     files = episodes.list_files(spark, folder, prefix, content=True)
     timeline = cut(episodes.anchor_timeline(files))
@@ -53,16 +53,16 @@ def run_episodes(spark: SparkSession, folder: str, prefix: str | None = None, sw
     units = units.join(segmentation.block_membership(blocks), ["episode_id", "sentence_id"], "left")
     texts = timeline.select("episode_id", F.lit("apple").alias("source"), F.col("full_text").alias("raw_text")).unionByName(episodes.engine_texts(files))
     aligned = cut(alignment.align_engines(texts))
-    found = cut(spans.block_candidates(blocks, texts, aligned, swapped=swapped).withColumn("alignment_score", F.col("local_alignment_score")))
-    candidates = found.unionByName(anchor_candidates(blocks, found))
-    return run_fusion(units, blocks, candidates, punctuate)
+    found = candidates.build(blocks, texts, aligned, mode, swapped)
+    rows = found.unionByName(anchor_candidates(blocks, found))
+    return run_fusion(units, blocks, rows, punctuate)
 
 
-def run_fusion(units: DataFrame, blocks: DataFrame, candidates: DataFrame, punctuate: bool = True) -> Run:
+def run_fusion(units: DataFrame, blocks: DataFrame, found: DataFrame, punctuate: bool = True) -> Run:
     """The stages after the candidates (also the way to resume)."""
-    flagged = cut(risk.flagged_blocks(blocks, candidates))
+    flagged = cut(risk.flagged_blocks(blocks, found))
     finals = cut(fusion.final_blocks(flagged, units, punctuate))
-    return Run(units, blocks, candidates, flagged, finals, fusion.final_sentences(finals, units), reports.final_summary(finals))
+    return Run(units, blocks, found, flagged, finals, fusion.final_sentences(finals, units), reports.final_summary(finals))
 
 
 def write_run(run: Run, root: str, source: str, force: bool = False) -> dict[str, int]:

@@ -88,6 +88,17 @@ def test_whole_run(spark, folder, tmp_path):
     assert sorted(map(str, again.finals.collect())) == sorted(map(str, run.finals.collect()))
 
 
+def test_modes(spark, folder):
+    only = pipeline.run_episodes(spark, folder, "ep1", mode="qwen-only").candidates
+    assert {r.skip_reason for r in only.where("source = 'whisper'").collect()} == {"qwen_only_mode"}
+    staged = pipeline.run_episodes(spark, folder, "ep1", swapped=False, mode="staged")
+    rows = staged.candidates.collect()
+    blocks = {r.block_id for r in staged.blocks.collect()}
+    assert {(r.block_id, r.source) for r in rows} == {(b, s) for b in blocks for s in ("apple", "qwen", "nemotron", "whisper")}
+    with pytest.raises(ValueError):
+        pipeline.run_episodes(spark, folder, "ep1", mode="other")
+
+
 def test_unit_checks(spark):
     u = spark.createDataFrame([("e", "s1", "ab", 0, 2), ("e", "s2", "xd", 1, 3), ("e", "s3", "long one", 3, 11)], "episode_id string, sentence_id string, text string, char_start int, char_end int")
     t = spark.createDataFrame([("e", "abdlong one")], "episode_id string, full_text string")
