@@ -156,8 +156,9 @@ class Pair:
 
     def __init__(self, instruction: str, candidates: list[str], answer: str) -> None:
         self.instruction = fold(instruction)
-        self.candidates = [c for c in map(fold, candidates) if c]
-        self.languages = {x for x in map(language, candidates) if x}
+        # engines often agree letter for letter; equal candidates are looked at once
+        self.candidates = list(dict.fromkeys(c for c in map(fold, candidates) if c))
+        self.languages = {x for x in map(language, dict.fromkeys(candidates)) if x}
         self.clauses = [c for c in CLAUSE.findall(answer) if fold(c)]
         self.folded = [fold(c) for c in self.clauses]
         self.answer = "".join(self.folded)
