@@ -207,3 +207,11 @@ def normalized_flags(kind: Column, ratio: Column, local: Column, flags: Column)
         F.when(review, out).otherwise(F.array().cast("array<string>")).alias("needs_review_reason"),
         (~review).alias("auto_accepted"),
     )
+
+
+def normalized_blocks(flagged: DataFrame) -> DataFrame:
+    """Flagged blocks with type, flags and verdict as normalised: what the final selection takes."""
+    local = F.coalesce(F.col(f"{tb.PRIMARY}.local_alignment_score"), F.col(f"{tb.PRIMARY}.alignment_score"))
+    df = flagged.withColumn("__n", normalized_flags(F.col("qwen_apple_difference_type"), F.col("qwen_apple_similarity"), local, F.col("risk_flags")))
+    names = {"qwen_apple_difference_type": "difference_type"} | {c: c for c in ("risk_flags", "needs_review", "needs_review_reason", "auto_accepted")}
+    return df.withColumns({c: F.col(f"__n.{n}") for c, n in names.items()}).drop("__n")

@@ -60,7 +60,7 @@ def run_episodes(spark: SparkSession, folder: str, prefix: str | None = None, sw
 
 def run_fusion(units: DataFrame, blocks: DataFrame, found: DataFrame, punctuate: bool = True) -> Run:
     """The stages after the candidates (also the way to resume)."""
-    flagged = cut(risk.flagged_blocks(blocks, found))
+    flagged = cut(risk.normalized_blocks(risk.flagged_blocks(blocks, found)))
     finals = cut(fusion.final_blocks(flagged, units, punctuate))
     return Run(units, blocks, found, flagged, finals, fusion.final_sentences(finals, units), reports.final_summary(finals))
 

@@ -410,8 +410,8 @@ def r_flagged_blocks(spark, d):
 
 @query()
 def f_final_blocks(spark, d):
-    """The final text of every block."""
-    flagged = risk.flagged_blocks(table(spark, d, "alignment_block"), table(spark, d, "block_candidate"))
+    """The final text of every block."""
+    flagged = risk.normalized_blocks(risk.flagged_blocks(table(spark, d, "alignment_block"), table(spark, d, "block_candidate")))
     return fusion.final_blocks(flagged, table(spark, d, "sentence_unit")).select(
         *BLOCK, "selected_source", "selection_method", "final_text", "final_text_display", "cleanup_reasons", "cleanup_reverted", "final_risk_flags", "start_sec", "end_sec"
     )

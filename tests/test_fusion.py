@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from spoolweave.functions import tables as tb
 from spoolweave.operators import fusion as fu
 from spoolweave.operators import risk
+from spoolweave.plans import pipeline, queries
 
 BLOCK = "episode_id string, block_id string, sentence_ids array<string>, text string, start_sec double, end_sec double, stability_score double"
 CAND = "episode_id string, block_id string, source string, text string, local_alignment_score double, alignment_score double, usable_for_agreement boolean, boundary_contamination boolean, span_drift_start int, span_drift_end int, skipped boolean"
@@ -129,3 +130,27 @@ def test_natural_text(spark):
     rows = [("大きな図書館の地図です", "大きな図書館の地図です", True), ("大きな図書館の地図です", "別の長い話をしました", False), ("倒ブレット大きな図書館", "倒ブレット大きな図書館", False), ("短い", "短い", False), ("", "", False)]
     df = spark.createDataFrame(rows, "t string, c string, want boolean")
     assert all(r[0] == r[1] for r in df.select("want", fu.natural_text(F.col("t"), F.col("t"), [F.col("c")])).collect())
+
+
+def test_flags_are_normalised_before_selection(spark):
+    # values read from normalize_block_candidate_flags and the selection after it
+    text = "大きな図書館の地図を見ました！"
+    other = "遠い港町で船の写真を眺めていたね！"
+    b = spark.createDataFrame([("e", i, [f"s{i}"], text, s, s + 9.0, 0.2) for i, s in (("b1", 0.0), ("b2", 10.0), ("b3", 20.0))], BLOCK)
+    c = cands(spark, four("b1", text, whisper=(text, 0.5)) + four("b2", text, qwen=(other, 0.95)) + four("b3", text, qwen=(text, 0.5)))
+    raw = {r.block_id: r for r in risk.flagged_blocks(b, c).collect()}
+    assert raw["b1"].risk_flags == ["apple_unstable", "whisper_alignment_low"] and "soft_domain_difference" in raw["b2"].risk_flags
+    run = pipeline.run_fusion(spark.createDataFrame([], HINT), b, c)
+    want = {"b1": ([], False), "b2": (["qwen_apple_disagreement"], True), "b3": ([], True)}
+    for rows in (run.flagged, run.finals):
+        assert {r.block_id: (r.risk_flags, r.needs_review) for r in rows.collect()} == want
+    assert {r.block_id: r.final_risk_flags for r in run.finals.collect()} == {k: v[0] for k, v in want.items()}
+    assert {r.block_id: (r.needs_review_reason, r.auto_accepted) for r in run.flagged.collect()} == {"b1": ([], True), "b2": (["qwen_apple_disagreement"], False), "b3": ([], False)}
+
+
+def test_final_blocks_query_takes_normalised_flags(spark, tmp_path):
+    text = "大きな図書館の地図を見ました！"
+    spark.createDataFrame([("e", "b1", ["s1"], text, 0.0, 9.0, 0.2)], BLOCK).write.parquet(str(tmp_path / "alignment_block.parquet"))
+    cands(spark, four("b1", text, whisper=(text, 0.5))).write.parquet(str(tmp_path / "block_candidate.parquet"))
+    spark.createDataFrame([], HINT).write.parquet(str(tmp_path / "sentence_unit.parquet"))
+    assert queries.f_final_blocks(spark, str(tmp_path)).first().final_risk_flags == []
