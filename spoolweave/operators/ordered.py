@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from spoolweave.session import cut
 
 BLOCK = "__block"
-ROUNDS = 1000
 
 
 def with_blocks(df: DataFrame, order: str | Column, width: float) -> DataFrame:
@@ -80,7 +79,8 @@ def forgetful_fold(df: DataFrame, keys: list[str], order: list[str], fold: Fold,
     source = cut(df)
     done = cut(source.withColumn("__in", F.lit(None).cast(state)).groupBy(*keys, BLOCK).applyInPandas(run, result_schema))
     across = Window.partitionBy(*keys).orderBy(BLOCK)
-    for _ in range(ROUNDS):
+    # each round settles at least the first stale block of a group, so as many rounds as blocks are enough
+    while True:
         incoming = done.select(*keys, BLOCK, "__in", F.lag("__after").over(across).alias("__new"))
         # read from the written rows of the round before, so cheap enough to be read thrice
         stale = incoming.where(~F.col("__in").eqNullSafe(F.col("__new"))).select(*keys, BLOCK, F.col("__new").alias("__in"))

@@ -119,3 +119,15 @@ def test_fold_equals_sequential(spark):
             if kk == k:
                 s = min(5, max(-5, s + v))
                 assert got[(k, t)] == s
+
+
+def test_fold_runs_until_nothing_is_stale(spark, monkeypatch):
+    monkeypatch.setattr(od, "ROUNDS", 2, raising=False)
+    df = od.with_blocks(spark.createDataFrame([("a", float(i), 1) for i in range(12)], "k string, t double, v int"), "t", 2.0)
+
+    def total(pdf, state):
+        out = pdf["v"].cumsum() + int(state or 0)
+        return pdf[["t"]].assign(s=out), int(out.iloc[-1])
+
+    got = {r.t: r.s for r in od.forgetful_fold(df, ["k"], ["t"], total, "t double, s int", "int").collect()}
+    assert got == {float(i): i + 1 for i in range(12)}
