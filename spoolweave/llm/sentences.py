@@ -93,9 +93,9 @@ LEXER = regex.compile(
     ),
     regex.V0,
 )
-#: Where none of these stands before the last few characters, nothing can be cut.
+#: Where none of these stands before the last few characters, nothing can be cut: all that a rule of LEXER ends at.
 MAYBE = regex.compile(
-    f"[。！？｡!?‼⁇⁈⁉．…\\r\\n\\u2028\\u2029\\x0b\\x0c\\x85]|\\.(?:[\\s\"”“»«')\\].]|{INV}\\s)|{JA_PRED}{INV}{GAP}*{JA_ON}(?=\\w)|{KO_PRED}{GAP}|\\p{{Han}}{INV}{SPACE}{GAP}*[\\p{{Han}}\\p{{Nd}}“「]", regex.V0
+    f"[.。！？｡︒‼⁇⁈⁉!?．…\\r\\n\\u2028\\u2029\\x0b\\x0c\\x85]|{JA_PRED}{INV}{GAP}*{JA_ON}(?=\\S)|{KO_PRED}{GAP}|\\p{{Han}}{INV}{SPACE}{GAP}*[\\p{{Han}}\\p{{Nd}}“「]", regex.V0
 )
 KANA = regex.compile("[\\p{Hiragana}\\p{Katakana}]")
 HANGUL = regex.compile("\\p{Hangul}")

@@ -71,3 +71,17 @@ def test_long_texts_take_the_scan(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "k string, t string")
     assert st.split_sentences(df, "t", ["k"]).count() == 0
+
+
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ("行きます 「はい」と言った", [0, 5]),
+        ("他来了.「好」", [0, 4]),
+        ("他来了.）我走", [0, 5]),
+        ("他来了︒我走", [0, 4]),
+        ("Wir kauften Brot usw.Danach gingen wir", [0, 21]),
+    ],
+)
+def test_shortcut_drops_no_boundary(text, want):
+    assert st.starts_from_ends(text, st.run(text)[1]) == st.sentence_starts(text) == want
