@@ -30,7 +30,9 @@ from spoolweave.llm import lexicon as lx
 from spoolweave.llm.lookalike import LATIN_ALIKE
 
 CHUNK = 16_384
-BACK, AHEAD = 96, 256
+#: Characters read before and after a chunk; the longest look-back is that of lex for a low opening quote.
+QUOTE_BACK = 400
+BACK, AHEAD = QUOTE_BACK + 112, 256
 
 # Abbreviations after which a sentence never ends, and those that may close one.
 MIDDLE = (
@@ -156,12 +158,17 @@ def transducer() -> tuple[list[list[int]], list[list[bool]]]:
     return nxt, end
 
 
-def lex(text: str, lo: int = 0, hi: int | None = None) -> Iterator[tuple[int, int, int]]:
-    """(symbol, start, stop) of the tokens that start in [lo, hi)."""
-    hi = len(text) if hi is None else hi
+def scripts(text: str) -> list[bool]:
+    """Whether the rules for Korean, for Japanese and for texts with Chinese characters hold."""
     hangul = HANGUL.search(text) is not None
     ja = not hangul and KANA.search(text) is not None
-    han = ja or HAN.search(text) is not None
+    return [hangul, ja, ja or HAN.search(text) is not None]
+
+
+def lex(text: str, lo: int = 0, hi: int | None = None, flags: list[bool] | None = None) -> Iterator[tuple[int, int, int]]:
+    """(symbol, start, stop) of the tokens that start in [lo, hi); flags: the scripts of the whole text, if this is a part of it."""
+    hi = len(text) if hi is None else hi
+    hangul, ja, han = flags or scripts(text)
     seen_word = False
     for m in LEXER.finditer(text):
         a, b, kind = m.start(), m.end(), m.lastgroup
@@ -214,7 +221,7 @@ def lex(text: str, lo: int = 0, hi: int | None = None) -> Iterator[tuple[int, in
                 symbol = TERM
             elif kind == "oq":
                 symbol = OPENQ
-                if m.group() == "“" and "„" in text[max(a - 400, 0) : a] and text.rfind("„", 0, a) > text.rfind("“", 0, a):
+                if m.group() == "“" and "„" in text[max(a - QUOTE_BACK, 0) : a] and text.rfind("„", 0, a) > text.rfind("“", 0, a):
                     symbol = _close(text, a, b, ja, han, hangul, CLOSEQ)
             elif kind == "cq":
                 symbol = _close(text, a, b, ja, han, hangul, CLOSEQ)
@@ -248,22 +255,22 @@ LEAD = regex.compile(
 )
 
 
-def run(text: str, state: int = START, lo: int = 0, hi: int | None = None) -> tuple[int, list[int]]:
+def run(text: str, state: int = START, lo: int = 0, hi: int | None = None, flags: list[bool] | None = None) -> tuple[int, list[int]]:
     """Feed the tokens of text[lo:hi] from a state; the end state and where sentences end."""
     nxt, end = transducer()
     ends = []
-    for symbol, _, stop in lex(text, lo, hi):
+    for symbol, _, stop in lex(text, lo, hi, flags):
         if end[state][symbol]:
             ends.append(stop)
         state = nxt[state][symbol]
     return state, ends
 
 
-def chunk_function(text: str, lo: int, hi: int) -> list[int]:
+def chunk_function(text: str, lo: int, hi: int, flags: list[bool] | None = None) -> list[int]:
     """The state-transition function of one chunk: end state by start state."""
     nxt, _ = transducer()
     fn = list(range(STATES))
-    for symbol, _, _ in lex(text, lo, hi):
+    for symbol, _, _ in lex(text, lo, hi, flags):
         fn = [nxt[s][symbol] for s in fn]
     return fn
 
@@ -371,12 +378,21 @@ def _long_texts(df: DataFrame, keys: list[str], types: dict[str, str], chunk: in
     key_schema = ", ".join(f"`{k}` {types[k]}" for k in keys)
     # null-safe id of a text, so that null keys stay apart from each other's text
     df = df.dropDuplicates(keys)
+
+    def flagged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [scripts(readable(t)) for t in b.column("__text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(found, pa.list_(pa.bool_()))], names=[*b.schema.names, "__f"])
+
+    # the scripts of the whole text, so that a chunk follows the rules the text would in one pass
+    df = df.mapInArrow(flagged, f"{key_schema}, __text string, __f array<boolean>")
     pieces = (
         df.withColumn("__n", F.length("__text"))
         .withColumn("__c", F.explode(F.expr(f"sequence(0, cast((__n - 1) div {chunk} as int))")))
         .select(
             *keys,
             "__c",
+            "__f",
             F.least(F.lit(BACK), F.col("__c") * chunk).cast("int").alias("__lo"),
             F.expr(f"substring(__text, greatest(__c * {chunk} - {BACK}, 0) + 1, {chunk} + {BACK + AHEAD})").alias("__p"),
         )
@@ -384,7 +400,7 @@ def _long_texts(df: DataFrame, keys: list[str], types: dict[str, str], chunk: in
 
     def functions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fns = [chunk_function(readable(p), lo, lo + chunk) for p, lo in zip(b.column("__p").to_pylist(), b.column("__lo").to_pylist(), strict=True)]
+            fns = [chunk_function(readable(p), lo, lo + chunk, f) for p, lo, f in zip(*(b.column(x).to_pylist() for x in ("__p", "__lo", "__f")), strict=True)]
             yield pa.RecordBatch.from_arrays([*(b.column(k) for k in keys), b.column("__c"), pa.array(fns, pa.list_(pa.int16()))], names=[*keys, "__c", "__fn"])
 
     def scan(pdf):
@@ -397,15 +413,15 @@ def _long_texts(df: DataFrame, keys: list[str], types: dict[str, str], chunk: in
     begun = fn.groupBy(*keys).applyInPandas(scan, f"{key_schema}, __c int, __s int")
     same = [pieces[k].eqNullSafe(begun[k]) for k in keys]
     joined = pieces.join(begun, on=[*same, pieces["__c"] == begun["__c"]], how="inner").select(
-        *[pieces[k] for k in keys], pieces["__c"], "__lo", "__p", "__s"
+        *[pieces[k] for k in keys], pieces["__c"], "__lo", "__p", "__f", "__s"
     )
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ends = []
-            for p, lo, c, s in zip(*(b.column(x).to_pylist() for x in ("__p", "__lo", "__c", "__s")), strict=True):
+            for p, lo, c, f, s in zip(*(b.column(x).to_pylist() for x in ("__p", "__lo", "__c", "__f", "__s")), strict=True):
                 shift = c * chunk - lo
-                ends.append([e + shift for e in run(readable(p), s, lo, lo + chunk)[1]])
+                ends.append([e + shift for e in run(readable(p), s, lo, lo + chunk, f)[1]])
             yield pa.RecordBatch.from_arrays([*(b.column(k) for k in keys), pa.array(ends, pa.list_(pa.int32()))], names=[*keys, "__e"])
 
     ends = joined.mapInArrow(emit, f"{key_schema}, __e array<int>").groupBy(*keys).agg(F.array_sort(F.flatten(F.collect_list("__e"))).alias("__e"))

@@ -85,3 +85,15 @@ def test_empty_table(spark):
 )
 def test_shortcut_drops_no_boundary(text, want):
     assert st.starts_from_ends(text, st.run(text)[1]) == st.sentence_starts(text) == want
+
+
+def test_chunks_follow_the_rules_of_the_whole_text(spark):
+    han = "今日去北京 明天回上海 后天休息。" * 60
+    latin = "Well done! it was fine. and then they left? yes. " * 30
+    quoted = "Sie sagte „" + "wir sammeln alte Karten und " * 11 + "mehr.“ Danach gingen wir. "
+    rows = [(1, "これはペンです。" + han + latin), (2, "안녕하세요. " + latin + han), (3, quoted * 12)]
+    df = spark.createDataFrame(rows, "id bigint, text string")
+    got = {}
+    for r in st.split_sentences(df, "text", ["id"], chunk=64).collect():
+        got.setdefault(r.id, []).append(r.char_pos)
+    assert {k: sorted(v) for k, v in got.items()} == {k: st.sentence_starts(t) for k, t in rows}
