@@ -77,8 +77,9 @@ def _sizes(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBa
 
 def document_sizes(documents: DataFrame, targets: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
     """One row per distinct text of the target sources: smallest doc_id, its source, tokens."""
-    wanted = [r[0] for r in targets.select(source_key(F.col("source")).alias("s")).where("s is not null").distinct().limit(10_000).collect()]
-    slim = documents.select("doc_id", source_key(F.col("source")).alias("source"), "text").where(F.col("source").isin(*wanted) & (F.length("text") > 0) & F.col("doc_id").isNotNull())
+    wanted = targets.select(source_key(F.col("source")).alias("source")).where("source is not null").distinct()
+    slim = documents.select("doc_id", source_key(F.col("source")).alias("source"), "text").where((F.length("text") > 0) & F.col("doc_id").isNotNull())
+    slim = slim.join(wanted, "source", "left_semi").select("doc_id", "source", "text")
     kind = dict(slim.dtypes)["doc_id"]
     sized = slim.mapInArrow(lambda it: _sizes(it, tokenizer), f"doc_id {kind}, source string, text_id binary, tokens bigint")
     one = sized.groupBy("text_id").agg(F.min(F.struct("doc_id", "source", "tokens")).alias("d"))

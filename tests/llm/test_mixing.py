@@ -45,3 +45,10 @@ def test_shares_and_empty(spark, frames):
     assert rows["absent"].tokens == 0 and abs(sum(r.share for r in rows.values()) - 1) < 1e-9
     assert mixing.mix_sources(frames[0].limit(0), frames[1]).count() == 0
     assert mixing.mix_sources(frames[0], frames[1].limit(0)).count() == 0
+
+
+def test_no_source_is_left_out_for_their_number(spark):
+    n = 10_040
+    targets = spark.createDataFrame([(f"s{i}", 1.0, 1) for i in range(n)], TSCHEMA)
+    documents = spark.createDataFrame([(i, f"text {i}", f"S{i}") for i in range(n)], "doc_id long, text string, source string")
+    assert mixing.document_sizes(documents, targets).count() == n
