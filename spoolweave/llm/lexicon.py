@@ -20,11 +20,11 @@ NOTE_WORDS = (
 _WORD = "|".join(sorted({re.escape(w) for w in NOTE_WORDS}, key=len, reverse=True))
 #: One sound note; double brackets nest.
 NOTE = (
-    f"(?:{OPEN}{{1,2}}[ 　♪♫〜~]*(?:{_WORD})[ 　♪♫〜~]*{CLOSE}{{1,2}}"
+    f"(?:{OPEN}{{1,2}}[ 　♪♫〜~]{{0,6}}(?:{_WORD})[ 　♪♫〜~]{{0,6}}{CLOSE}{{1,2}}"
     "|♪[^♪\n。]{0,30}♪|[♪♫][〜~]?|\\*[^*\n]{1,24}\\*|※(?:" + _WORD + ")※)"
 )
 TIME = "\\d{1,2}:\\d{2}(?::\\d{2})?(?:[.,]\\d{1,3})?"
-STAMP = f"(?:{OPEN}?{TIME}(?:\\s*--?>\\s*{TIME})?{CLOSE}?)"
+STAMP = f"(?:{OPEN}?{TIME}(?:[ \\t]{{0,4}}--?>[ \\t]{{0,4}}{TIME})?{CLOSE}?)"
 
 #: Hesitations, each with its lengthened spellings; whole words only.
 FILLER = (

@@ -79,6 +79,11 @@ def p4_sentences(spark: SparkSession, d: str) -> DataFrame:
     return out
 
 
+def p4_documents(spark: SparkSession, d: str) -> DataFrame:
+    tune(spark)
+    return sentences.split_sentences(table(spark, d, "documents"), "text", ["doc_id"])
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     tune(spark)
     found = pieces.block_pieces(table(spark, d, "alignment_block"), table(spark, d, "sentence_unit"))
@@ -131,7 +136,7 @@ def p9_documents(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    every = (p1_found, p1_turns, p2_found, p2_shares, p3_found, p3_forms, p4_found, p4_sentences, p5_found, p5_parts, p6_found, p7_found, p7_leaks, p8_mix, p8_shares, p9_found, p9_segments, p9_documents)
+    every = (p1_found, p1_turns, p2_found, p2_shares, p3_found, p3_forms, p4_found, p4_sentences, p4_documents, p5_found, p5_parts, p6_found, p7_found, p7_leaks, p8_mix, p8_shares, p9_found, p9_segments, p9_documents)
     return {f.__name__: f for f in every}
 
 

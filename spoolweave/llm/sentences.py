@@ -2,17 +2,22 @@
 
 A lexer turns a text into a short run of symbols (terminators, quotes, brackets, line
 breaks, closing predicates, content); a finite transducer over those symbols, compiled once
-from the boundary rules, says after which symbols a sentence ends. Text between symbols
-costs nothing but the lexer's regular expression.
-
-Long texts are cut into chunks. Each chunk becomes a state-transition function (an array
-that maps every start state to its end state), the functions are composed by a prefix scan,
-and each chunk is then emitted from its own start state, so one huge text is spread over
-many tasks.
+from the boundary rules, says after which symbols a sentence ends, and keeps in its state
+whether the open sentence has speech and which quotes are open. Rules that differ by script
+look at the letters within WINDOW characters on the same line, never at the whole text, so a
+passage is split alike wherever it stands.
+
+Every text is cut into chunks at safe cuts: places no token and no look-around of the lexer
+reaches across (see SAFE). A chunk is lexed by itself and becomes a state-transition
+function, an array that maps every start state to its end state; the functions are composed
+by a prefix scan, and each chunk is then emitted from its own start state. Texts up to
+SPREAD code points do this inside one Arrow batch, all chunks of the batch in one scan;
+longer ones send their chunks to different tasks. Both run the same functions over the same
+kind of chunks, and a cut changes nothing, so results don't depend on chunk size or length.
 
 Defined cases: null or empty text gives no sentence; a text of labels, stamps, fillers and
-sound notes alone gives none; a redelivered row gives the same rows once; extra columns are
-ignored.
+sound notes alone gives none; a redelivered row gives the same rows once; null keys are a
+key like any other; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,10 +34,16 @@ from pyspark.sql import functions as F
 from spoolweave.llm import lexicon as lx
 from spoolweave.llm.lookalike import LATIN_ALIKE
 
-CHUNK = 16_384
-#: Characters read before and after a chunk; the longest look-back is that of lex for a low opening quote.
-QUOTE_BACK = 400
-BACK, AHEAD = QUOTE_BACK + 112, 256
+#: Code points after which the next safe cut is taken.
+CHUNK = 256
+#: Chunk size of texts over SPREAD code points, which go over several tasks.
+FAR_CHUNK, SPREAD = 16_384, 65_536
+#: Characters on either side whose scripts decide which rules hold.
+WINDOW = 80
+#: Context of a chunk that travels alone: the longest look-behind and look-ahead of any rule.
+BACK, AHEAD = 160, 320
+#: A label on a line of its own ends within this many characters.
+LABEL_REACH = 200
 
 # Abbreviations after which a sentence never ends, and those that may close one.
 MIDDLE = (
@@ -44,9 +55,9 @@ CLOSING = "etc co ltd cía inc jr corp usw a.m p.m am pm bros llc plc s.a e.v ff
 _MID = "|".join(sorted(map(regex.escape, MIDDLE), key=len, reverse=True))
 _END = "|".join(sorted(map(regex.escape, CLOSING), key=len, reverse=True))
 MONTH = "(?:Jan|Feb|Mär|Apr|Mai|Jun|Jul|Aug|Sep|Okt|Nov|Dez)"
-INV = f"[{lx.INVISIBLE}]*"
+INV = f"[{lx.INVISIBLE}]{{0,16}}"
 GAP = f"[ \\t\\u00a0\\u2002-\\u200a\\u202f\\u205f\\u3000{lx.INVISIBLE}]"
-NEXT = f"(?=(?:{GAP}|(?i:{lx.NOTE})|{lx.STAMP})*[\"“„«»‹‘¿¡(\\[—–-]*{GAP}*[\\p{{Lu}}\\p{{Lt}}\\p{{Nd}}]|{GAP}*[\"“„«¿¡]|{GAP}*(?:$|[\\r\\n]))"
+NEXT = f"(?=(?:{GAP}|(?i:{lx.NOTE})|{lx.STAMP}){{0,12}}[\"“„«»‹‘¿¡(\\[—–-]*{GAP}*[\\p{{Lu}}\\p{{Lt}}\\p{{Nd}}]|{GAP}*[\"“„«¿¡]|{GAP}*(?:$|[\\r\\n]))"
 CJKNEXT = f"(?={GAP}*[\\p{{Han}}\\p{{Hiragana}}\\p{{Katakana}}\\p{{Hangul}}])"
 JA_PRED = "(?>(?:でしょうか|ましょうか|でしょう|ましょう|ませんでした|ました|でした|ません(?!でし)|です|ます)(?:よね|か|よ|ね|わ|な)?)"
 KO_PRED = "(?:습니다|읍니다|입니다|니다|습니까|ㅂ니까|니까|까요|어요|아요|해요|예요|에요|세요|네요|지요|죠|군요)"
@@ -57,10 +68,11 @@ JA_ON = (
 )
 
 SPACE = "[ \\t\\u00a0\\u2002-\\u200a\\u202f\\u205f\\u3000]"
-NOMARK = f"(?!(?:{GAP}|(?i:{lx.NOTE}))*[,，、.。!?！？…])"
+NOMARK = f"(?!(?:{GAP}|(?i:{lx.NOTE})){{0,12}}[,，、.。!?！？…])"
 
-# Symbols of the transducer.
-CONTENT, TERM, SOFT, OPENQ, CLOSEQ, TOGGLE, OPENB, CLOSEB, BREAK, NOISE, FILL, CLOSE_ON = range(12)
+# Symbols of the transducer. AMBIG marks close a low opening quote, if one is open, and else open one.
+CONTENT, TERM, SOFT, OPENQ, CLOSEQ, TOGGLE, OPENB, CLOSEB, BREAK, IDLE, OPENLOW, CLOSE_ON, AMBIG, AMBIG_ON = range(14)
+SYMBOLS = 14
 
 LEXER = regex.compile(
     "|".join(
@@ -71,7 +83,7 @@ LEXER = regex.compile(
             f"(?P<clock>(?<![\\w])[ap]\\.[ \\u00a0]?m\\.{INV}(?={GAP}+[\"“„«]?\\p{{Lu}}|{GAP}*(?:$|[\\r\\n])))",
             # dots that end nothing: initials, numbers, abbreviations, ordinals, list numbers
             "(?P<skip>(?<![\\w])(?i:v|ver|vol|no|nr)\\.?\\d+(?:[.,]\\d+)*"
-            f"|\\d+(?:[.,:]\\d+)+|\\d{{1,2}}\\.(?= {MONTH})|(?<=(?:^|[\\r\\n])[ \\t]*)\\d{{1,3}}[.)．](?=\\s)"
+            f"|\\d+(?:[.,:]\\d+)+|\\d{{1,2}}\\.(?= {MONTH})|(?<=(?:^|[\\r\\n])[ \\t]{{0,16}})\\d{{1,3}}[.)．](?=\\s)"
             "|(?<![\\w])\\p{L}\\.(?:[ \\u00a0]?\\p{Ll}\\.)+(?!\\s*(?:$|[\\r\\n]))(?=[^\\S\\r\\n]*[\\p{Ll}\\d,;:])"
             "|(?<![\\w])\\p{Lu}\\.(?=[ \\u00a0]?\\p{Lu})"
             f"|(?<![\\w])(?i:{_MID})\\.(?=[^\\s]|[^\\S\\r\\n]+[\\p{{L}}\\p{{Nd}}\"“«„]))",
@@ -104,175 +116,225 @@ HANGUL = regex.compile("\\p{Hangul}")
 HAN = regex.compile("\\p{Han}")
 QUOTES = {"「": "」", "『": "』", "“": "”", "„": "“", "«": "»", "‹": "›", "‟": "”", "‘": "’"}
 AFTER_QUOTE_JA = regex.compile("[とっのはをがにもへで、，,。]|って|という")
+AFTER_QUOTE_ZH = regex.compile(f"{GAP}*(?:$|[\\r\\n“])")
 AFTER_QUOTE_KO = regex.compile(f"{GAP}*(?:라고|이라고|하고|라는|고|는|을|를|이|가)(?=\\s)|라고|라는|하고")
-UPPER_NEXT = regex.compile(f"{GAP}*(?:(?:(?i:{lx.NOTE})|{lx.STAMP}){GAP}*)*(?:[\"“„«¿¡(\\[—–-]+{GAP}*)?[\\p{{Lu}}\\p{{Lt}}]|{GAP}*[\"“„«¿¡]|{GAP}+\\p{{Nd}}|{GAP}*(?:$|[\\r\\n])", regex.V0)
+UPPER_NEXT = regex.compile(f"{GAP}*(?:(?:(?i:{lx.NOTE})|{lx.STAMP}){GAP}*){{0,6}}(?:[\"“„«¿¡(\\[—–-]+{GAP}*)?[\\p{{Lu}}\\p{{Lt}}]|{GAP}*[\"“„«¿¡]|{GAP}+\\p{{Nd}}|{GAP}*(?:$|[\\r\\n])", regex.V0)
 
 # --- transducer -------------------------------------------------------------------------
-# state = seen content in this sentence (0/1) + 2 * quote opened first (0/1)
-#         + 4 * ended inside the quote (0/1) + 8 * straight quote open (0/1) + 16 * depth (0..3)
+# state = speech in this sentence (0/1) + 2 * ended inside the quote (0/1) + 4 * straight quote open (0/1)
+#         + 8 * low quote open (0/1) + 16 * depth of quotes and brackets (0..3)
 DEPTHS = 4
 STATES = 16 * DEPTHS
-SYMBOLS = 12
 START = 0
 
 
 BEFORE_CLOSER = regex.compile(f"{GAP}*[»›]|[\"”“»«'’)\\]）」』]", regex.V0)
 
 
-def _pack(content: int, first: int, ended: int, straight: int, depth: int) -> int:
-    return content + 2 * first + 4 * ended + 8 * straight + 16 * depth
+def _pack(spoke: int, ended: int, straight: int, low: int, depth: int) -> int:
+    return spoke + 2 * ended + 4 * straight + 8 * low + 16 * depth
 
 
 @lru_cache(1)
-def transducer() -> tuple[list[list[int]], list[list[bool]]]:
+def transducer() -> tuple[np.ndarray, np.ndarray]:
     """Next state and 'a sentence ends after this symbol', by state and symbol."""
-    nxt = [[0] * SYMBOLS for _ in range(STATES)]
-    end = [[False] * SYMBOLS for _ in range(STATES)]
+    nxt = np.zeros((STATES, SYMBOLS), np.int16)
+    end = np.zeros((STATES, SYMBOLS), bool)
     for s in range(STATES):
-        c, f, e, q, d = s & 1, s >> 1 & 1, s >> 2 & 1, s >> 3 & 1, s >> 4
-        outside = not q and not d
+        spoke, ended, straight, low, depth = s & 1, s >> 1 & 1, s >> 2 & 1, s >> 3 & 1, s >> 4
+        outside = not straight and not depth
+        deeper = min(depth + 1, DEPTHS - 1)
         for y in range(SYMBOLS):
+            if y in (AMBIG, AMBIG_ON):
+                kind = (CLOSEQ if y == AMBIG else CLOSE_ON) if low else OPENQ
+            else:
+                kind = y
+            now_low = 0 if y in (AMBIG, AMBIG_ON) else low
             to, out = s, False
-            if y == CONTENT:
-                to = _pack(1, f if not outside else 0, 0, q, d)
-            elif y in (TERM, SOFT):
-                if outside:
-                    to, out = _pack(0, 0, 0, 0, 0), True
-                else:
-                    to = _pack(c, f, 1, q, d)
-            elif y in (OPENQ, OPENB):
-                first = f if not outside else int(not c and y == OPENQ)
-                to = _pack(c, first, 0, q, min(d + 1, DEPTHS - 1))
-            elif y == TOGGLE and not q:
-                to = _pack(c, f if not outside else int(not c), 0, 1, d)
-            elif y in (CLOSEQ, CLOSEB, TOGGLE, CLOSE_ON):
+            if kind == CONTENT:
+                to = _pack(1, 0, straight, low, depth)
+            elif kind == BREAK or (kind in (TERM, SOFT) and outside):
+                to, out = START, True
+            elif kind in (TERM, SOFT):
+                to = _pack(spoke, 1, straight, low, depth)
+            elif kind in (OPENQ, OPENB, OPENLOW):
+                to = _pack(spoke, 0, straight, 1 if kind == OPENLOW else now_low, deeper)
+            elif kind == TOGGLE and not straight:
+                to = _pack(spoke, ended, 1, low, depth)
+            elif kind in (CLOSEQ, CLOSEB, TOGGLE, CLOSE_ON):
                 # CLOSE_ON: the lexer saw that what follows carries the sentence on
-                nq, nd = (0, d) if y == TOGGLE or (y == CLOSE_ON and q) else (q, max(d - 1, 0))
-                if not nq and not nd and e and y in (CLOSEQ, TOGGLE):
-                    to, out = _pack(0, 0, 0, 0, 0), True
+                toggles = kind == TOGGLE or (kind == CLOSE_ON and straight and y != AMBIG_ON)
+                now_straight, now_depth = (0, depth) if toggles else (straight, max(depth - 1, 0))
+                open_ = now_straight or now_depth
+                if not open_ and ended and kind in (CLOSEQ, TOGGLE):
+                    to, out = START, True
                 else:
-                    to = _pack(c, f, e if (nq or nd) else 0, nq, nd)
-            elif y == BREAK:
-                to, out = _pack(0, 0, 0, 0, 0), True
+                    to = _pack(spoke, ended if open_ else 0, now_straight, now_low if open_ else 0, now_depth)
             nxt[s][y], end[s][y] = to, out
     return nxt, end
 
 
-def scripts(text: str) -> list[bool]:
+def scripts(text: str) -> tuple[bool, bool, bool]:
     """Whether the rules for Korean, for Japanese and for texts with Chinese characters hold."""
     hangul = HANGUL.search(text) is not None
     ja = not hangul and KANA.search(text) is not None
-    return [hangul, ja, ja or HAN.search(text) is not None]
+    return hangul, ja, ja or HAN.search(text) is not None
+
+
+BREAKS = regex.compile("[\\r\\n\u2028\u2029\\x0b\\x0c\\x85]")
+CJK = regex.compile("[\\p{Hiragana}\\p{Katakana}\\p{Hangul}\\p{Han}]", regex.V0)
+
 
+def nearby(text: str, at: int) -> tuple[bool, bool, bool]:
+    """The scripts of the letters around a place, on its own line."""
+    before = BREAKS.split(text[max(at - WINDOW, 0) : at])[-1]
+    after = BREAKS.split(text[at : at + WINDOW], 1)[0]
+    return scripts(before + after)
 
-def lex(text: str, lo: int = 0, hi: int | None = None, flags: list[bool] | None = None) -> Iterator[tuple[int, int, int]]:
-    """(symbol, start, stop) of the tokens that start in [lo, hi); flags: the scripts of the whole text, if this is a part of it."""
+
+def lex(text: str, lo: int = 0, hi: int | None = None) -> Iterator[tuple[int, int]]:
+    """(symbol, stop) of the tokens that start in [lo, hi), which lie between two safe cuts."""
     hi = len(text) if hi is None else hi
-    hangul, ja, han = flags or scripts(text)
+    plain = (False, False, False)
+    some_cjk = CJK.search(text, max(lo - WINDOW, 0), hi + WINDOW) is not None
     seen_word = False
-    for m in LEXER.finditer(text):
+    for m in LEXER.finditer(text, lo):
         a, b, kind = m.start(), m.end(), m.lastgroup
+        if a >= hi:
+            return
         if kind == "w" or kind == "skip" or kind == "abbrmid":
             # one content symbol for a whole run of words
-            if seen_word and a >= lo + 1:
+            if not seen_word:
+                seen_word = True
+                yield CONTENT, b
+            continue
+        seen_word = False
+        if kind == "noise" or kind == "filler":
+            continue
+        if kind == "brk":
+            yield BREAK, b
+            continue
+        if kind == "ob":
+            yield OPENB, b
+            continue
+        if kind == "cb":
+            yield CLOSEB, b
+            continue
+        if kind in ("abbr", "clock", "pred", "kopred"):
+            yield CONTENT, b
+            yield TERM, b
+            continue
+        if kind == "strong":
+            yield TERM, b
+            continue
+        hangul, ja, han = nearby(text, a) if some_cjk else plain
+        if kind == "latin":
+            follows, marks = text[b : b + 1], m.group()
+            if marks == "." and follows and not follows.isspace() and follows not in "\"”“»«')]）」』’" and not lx.INVISIBLE_RE.match(follows):
+                if not (han or hangul) or follows.isalnum():
+                    continue
+            if not han and "." not in marks and follows and follows.isalpha() and follows.islower():
                 continue
-            seen_word = True
-            symbol = CONTENT
-        else:
-            seen_word = False
-            if kind == "noise":
-                symbol = NOISE
-            elif kind == "filler":
-                symbol = FILL
-            elif kind == "brk":
-                symbol = BREAK
-            elif kind == "strong":
-                symbol = TERM
-            elif kind in ("abbr", "clock"):
-                yield from ((y, p, b) for y, p in ((CONTENT, a), (TERM, a)) if lo <= p < hi)
+            if not (han or hangul) and follows and not UPPER_NEXT.match(text, b) and not BEFORE_CLOSER.match(text, b):
                 continue
-            elif kind == "latin":
-                follows = text[b : b + 1]
-                if m.group().isascii() and "." == m.group() and follows and not follows.isspace() and follows not in "\"”“»«')]）」』’" and not lx.INVISIBLE_RE.match(follows):
-                    if not (han or hangul) or follows.isalnum():
-                        continue
-                if not han and "." not in m.group() and follows and follows.isalpha() and follows.islower():
-                    continue
-                if not (han or hangul) and follows and not UPPER_NEXT.match(text, b) and not BEFORE_CLOSER.match(text, b):
-                    continue
-                symbol = TERM
-            elif kind == "dots":
-                tail = m.group()[-1]
-                if tail in "!?！？。" or (not (han or hangul) and UPPER_NEXT.match(text, b)):
-                    symbol = TERM
-                elif b < len(text) and text[b] in "\"”“»«’）)」』" and not han:
-                    symbol = SOFT
-                elif hangul and regex.match("[다요까죠]", text[max(a - 1, 0) : a]) and text[b : b + 1].isspace():
-                    symbol = TERM
-                elif han and regex.search(f"(?:{JA_PRED}|[了呢吗吧])$", text[max(a - 12, 0) : a]) and b < len(text):
-                    symbol = TERM
-                else:
-                    continue
-            elif kind in ("pred", "kopred"):
-                symbol = TERM
-            elif kind == "zhgap":
-                if ja or hangul:
-                    continue
-                symbol = TERM
-            elif kind == "oq":
-                symbol = OPENQ
-                if m.group() == "“" and "„" in text[max(a - QUOTE_BACK, 0) : a] and text.rfind("„", 0, a) > text.rfind("“", 0, a):
-                    symbol = _close(text, a, b, ja, han, hangul, CLOSEQ)
-            elif kind == "cq":
-                symbol = _close(text, a, b, ja, han, hangul, CLOSEQ)
-            elif kind == "toggle":
-                symbol = TOGGLE
-                if a and not text[a - 1].isspace() and _close(text, a, b, ja, han, hangul, TOGGLE) == CLOSE_ON:
-                    symbol = CLOSE_ON
-            elif kind == "ob":
-                symbol = OPENB
+            yield TERM, b
+        elif kind == "dots":
+            tail = m.group()[-1]
+            if tail in "!?！？。" or (not (han or hangul) and UPPER_NEXT.match(text, b)):
+                yield TERM, b
+            elif b < len(text) and text[b] in "\"”“»«’）)」』" and not han:
+                yield SOFT, b
+            elif hangul and regex.match("[다요까죠]", text[max(a - 1, 0) : a]) and text[b : b + 1].isspace():
+                yield TERM, b
+            elif han and regex.search(f"(?:{JA_PRED}|[了呢吗吧])$", text[max(a - 12, 0) : a]) and b < len(text):
+                yield TERM, b
+        elif kind == "zhgap":
+            if not ja and not hangul:
+                yield TERM, b
+        elif kind == "oq":
+            if m.group() == "“":
+                yield AMBIG if _ends_with(text, b, ja, han, hangul) else AMBIG_ON, b
             else:
-                symbol = CLOSEB
-        if a >= hi:
-            return
-        if a >= lo:
-            yield symbol, a, b
+                yield OPENLOW if m.group() == "„" else OPENQ, b
+        elif kind == "cq":
+            yield CLOSEQ if _ends_with(text, b, ja, han, hangul) else CLOSE_ON, b
+        else:
+            closes = a and not text[a - 1].isspace() and not _ends_with(text, b, ja, han, hangul)
+            yield CLOSE_ON if closes else TOGGLE, b
 
 
-def _close(text: str, a: int, b: int, ja: bool, han: bool, hangul: bool, symbol: int) -> int:
-    """Whether the sentence may end with this closing quote."""
+def _ends_with(text: str, b: int, ja: bool, han: bool, hangul: bool) -> bool:
+    """Whether the sentence may end with the closing quote before b."""
     if hangul:
-        return CLOSE_ON if AFTER_QUOTE_KO.match(text, b) else symbol
+        return AFTER_QUOTE_KO.match(text, b) is None
     if ja:
-        return CLOSE_ON if AFTER_QUOTE_JA.match(text, b) else symbol
+        return AFTER_QUOTE_JA.match(text, b) is None
     if han:
-        return symbol if regex.match(f"{GAP}*(?:$|[\\r\\n“])", text[b : b + 40]) else CLOSE_ON
-    return symbol if UPPER_NEXT.match(text, b) else CLOSE_ON
+        return AFTER_QUOTE_ZH.match(text, b) is not None
+    return UPPER_NEXT.match(text, b) is not None
 
 
 LEAD = regex.compile(
     f"(?:\\s|[{lx.INVISIBLE}]|{lx.NOTE}|{lx.STAMP}|[、，,;；:：)\\]}}）］】〉》»”」』]|[.。!?！？…]+)+", regex.I | regex.V0
 )
 
+# --- chunks -----------------------------------------------------------------------------
+#: Places a text may be cut: after line breaks; after a comma of East Asian texts; after a comma or space between words of
+#: small Latin letters; between Chinese characters; after a space between Korean words of which the first ends like no
+#: predicate. No token but a note spans such a place, and what stands before it stops every look-ahead.
+SAFE = regex.compile(
+    "(?<=[\\r\\n\u2028\u2029\\x0b\\x0c\\x85])(?![\\r\\n\u2028\u2029\\x0b\\x0c\\x85])"
+    "|(?<=[、，])|(?<=\\p{Ll}{3},)(?= )|(?<=\\p{Ll}{3} )(?=\\p{Ll}{3})"
+    "|(?<=[\\p{Han}]{2})(?<![呃嗯那个].|[呃嗯那个])(?=\\p{Han}{2})(?![呃嗯那个]|.[呃嗯那个])"
+    "|(?<=\\p{Hangul} )(?<![다까요죠] )(?=\\p{Hangul})",
+    regex.V0 | regex.S,
+)
+#: Notes reach at most this far; none may be open at a cut.
+NOTE_REACH = 48
+NOTE_OPEN = regex.compile("[\\[(<（［【〈〔｛{＜♪♫*※]")
+
+
+def cuts(text: str, size: int) -> list[int]:
+    """Ends of the chunks: the first safe cut at or after each ``size`` characters, and the text's end."""
+    out, at = [], 0
+    while len(text) - at > size:
+        for m in SAFE.finditer(text, at + size):
+            if NOTE_OPEN.search(text, max(m.start() - NOTE_REACH, 0), m.start()) is None:
+                at = m.start()
+                break
+        else:
+            break
+        if at >= len(text):
+            break
+        out.append(at)
+    return [*out, len(text)]
 
-def run(text: str, state: int = START, lo: int = 0, hi: int | None = None, flags: list[bool] | None = None) -> tuple[int, list[int]]:
-    """Feed the tokens of text[lo:hi] from a state; the end state and where sentences end."""
-    nxt, end = transducer()
-    ends = []
-    for symbol, _, stop in lex(text, lo, hi, flags):
-        if end[state][symbol]:
-            ends.append(stop)
-        state = nxt[state][symbol]
-    return state, ends
+
+def lead_at(text: str, at: int, stop: int) -> int:
+    """The first place in [at, stop) that can begin a sentence, or -1."""
+    m = LEAD.match(text, at, stop)
+    at = m.end() if m else at
+    return at if at < stop else -1
 
 
-def chunk_function(text: str, lo: int, hi: int, flags: list[bool] | None = None) -> list[int]:
-    """The state-transition function of one chunk: end state by start state."""
+def chunk_functions(symbols: list[list[int]]) -> np.ndarray:
+    """The state-transition function of each chunk: (chunk, start state) -> end state, all chunks abreast."""
     nxt, _ = transducer()
-    fn = list(range(STATES))
-    for symbol, _, _ in lex(text, lo, hi, flags):
-        fn = [nxt[s][symbol] for s in fn]
-    return fn
+    size = np.fromiter(map(len, symbols), np.int64, len(symbols))
+    order = np.argsort(-size, kind="stable")
+    size = size[order]
+    out = np.tile(np.arange(STATES, dtype=np.int16), (len(symbols), 1))
+    if not len(symbols):
+        return out
+    table = np.zeros((len(symbols), max(int(size[0]), 1)), np.int8)
+    for i, k in enumerate(order):
+        table[i, : size[i]] = symbols[k]
+    work = out.copy()
+    for step in range(int(size[0])):
+        m = int(np.searchsorted(-size, -step, side="left"))
+        work[:m] = nxt[work[:m], table[:m, step, None]]
+    out[order] = work
+    return out
 
 
 def compose_scan(functions: np.ndarray) -> np.ndarray:
@@ -285,30 +347,84 @@ def compose_scan(functions: np.ndarray) -> np.ndarray:
     return out
 
 
-WORD = regex.compile("\\w")
+#: (place the chunk may begin a sentence at, [(speech before the end, place after it)], speech at its end)
+Emitted = tuple[int, list[tuple[bool, int]], bool]
 
 
-def starts_from_ends(text: str, ends: list[int], base: int = 0, after: int | None = None) -> list[int]:
-    """Start of each sentence that has words, given where sentences end. base shifts the result."""
-    out = []
-    bounds = [0, *ends, len(text)]
-    for a, b in zip(bounds, bounds[1:], strict=False):
-        if a >= b:
-            continue
-        m = LEAD.match(text, a, b)
-        at = m.end() if m else a
-        # opening marks just before the first word belong to the sentence
-        if at < b and _has_speech(text, at, b):
-            out.append(at + base)
+def emit(lead: int, symbols: list[int], leads: list[int], state: int) -> Emitted:
+    """What one chunk ends, from its start state."""
+    nxt, end = _plain_tables()
+    ends = []
+    for y, at in zip(symbols, leads, strict=True):
+        if end[state][y]:
+            ends.append((state & 1 == 1, at))
+        state = nxt[state][y]
+    return lead, ends, state & 1 == 1
+
+
+@lru_cache(1)
+def _plain_tables() -> tuple[list[list[int]], list[list[bool]]]:
+    nxt, end = transducer()
+    return nxt.tolist(), end.tolist()
+
+
+def join_chunks(chunks: list[Emitted], prefix: str) -> list[int]:
+    """Starts of the sentences that have speech, from what the chunks of a text ended."""
+    out, begun = [], -1
+    for lead, ends, spoken in chunks:
+        if begun < 0:
+            begun = lead
+        for spoke, after in ends:
+            if spoke:
+                out.append(begun)
+            begun = after
+    if chunks and spoken:
+        out.append(begun)
+    if len(out) > 1 and out[1] <= LABEL_REACH and LABEL_ONLY.match(prefix, 0, out[1]):
+        out.pop(0)  # a label on a line of its own is no sentence
     return out
 
 
-def _has_speech(text: str, a: int, b: int) -> bool:
-    piece = text[a:b]
-    if len(piece) > 48 and WORD.search(piece):
-        return True
-    piece = lx.FILLER_RE.sub(" ", lx.NOISE_RE.sub(" ", piece))
-    return WORD.search(piece) is not None
+def tokens_of(text: str, lo: int, hi: int) -> tuple[int, list[int], list[int]]:
+    """A chunk's first possible start, its symbols, and the possible start after each."""
+    symbols, leads = [], []
+    for y, stop in lex(text, lo, hi):
+        symbols.append(y)
+        leads.append(-1 if y in (CONTENT, OPENQ, OPENB, OPENLOW, CLOSEB) else lead_at(text, stop, hi))
+    return lead_at(text, lo, hi), symbols, leads
+
+
+def batch_starts(texts: list[str | None], chunk: int = CHUNK) -> list[list[int]]:
+    """Sentence starts of each text; all chunks of the batch go through one scan."""
+    out: list[list[int]] = [[] for _ in texts]
+    owner, parts = [], []
+    seen = [readable(t) if t else "" for t in texts]
+    for i, text in enumerate(seen):
+        first = MAYBE.search(text)
+        if first is None or first.start() >= len(text) - 1:
+            # nothing ends before the end: one sentence, if anything is said
+            if any(y == CONTENT for y, _ in lex(text)):
+                out[i] = [max(lead_at(text, 0, len(text)), 0)]
+            continue
+        lo = 0
+        for hi in cuts(text, chunk):
+            owner.append(i)
+            parts.append(tokens_of(text, lo, hi))
+            lo = hi
+    if not parts:
+        return out
+    own = np.array(owner)
+    fns = chunk_functions([p[1] for p in parts])
+    # a text's first chunk starts from START whatever came before it: a constant function
+    new = np.concatenate(([True], own[1:] != own[:-1]))
+    fns[new] = fns[new][:, [START]]
+    after = compose_scan(fns)[:, START]
+    states = np.where(new, START, np.concatenate(([START], after[:-1]))).tolist()
+    emitted = [emit(*p, s) for p, s in zip(parts, states, strict=True)]
+    bounds = [*np.flatnonzero(new).tolist(), len(parts)]
+    for a, b in zip(bounds, bounds[1:], strict=False):
+        out[owner[a]] = join_chunks(emitted[a:b], seen[owner[a]])
+    return out
 
 
 LABEL_ONLY = regex.compile(
@@ -326,17 +442,9 @@ def _plain_letters() -> dict[int, int]:
     return out | {ord(o): ord(rep) for rep, others in LATIN_ALIKE.items() for o in others}
 
 
-def sentence_starts(text: str | None) -> list[int]:
+def sentence_starts(text: str | None, chunk: int = CHUNK) -> list[int]:
     """Code point position of the first character of every sentence."""
-    if not text:
-        return []
-    text = readable(text)
-    first = MAYBE.search(text)
-    ends = run(text)[1] if first and first.start() < len(text) - 1 else []
-    found = starts_from_ends(text, ends)
-    if len(found) > 1 and LABEL_ONLY.match(text, 0, found[1]):
-        found.pop(0)  # a label on a line of its own is no sentence
-    return found
+    return batch_starts([text], chunk)[0]
 
 
 def readable(text: str) -> str:
@@ -344,103 +452,100 @@ def readable(text: str) -> str:
     return text.translate(_plain_letters()) if ODD.search(text) else text
 
 
-def _explode(batches: Iterator[pa.RecordBatch], keys: list[str], column: str) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        rows, at, no = [], [], []
-        texts = batch.column(column).to_pylist()
-        for i, text in enumerate(texts):
-            for k, p in enumerate(sentence_starts(text)):
-                rows.append(i)
-                at.append(p)
-                no.append(k)
-        taken = pa.array(rows, pa.int64())
-        cols = [batch.column(k).take(taken) for k in keys]
-        yield pa.RecordBatch.from_arrays([*cols, pa.array(no, pa.int32()), pa.array(at, pa.int32())], names=[*keys, "sentence_no", "char_pos"])
+def _rows(batch: pa.RecordBatch, keys: list[str], starts: list[list[int]]) -> pa.RecordBatch:
+    size = np.fromiter(map(len, starts), np.int64, len(starts))
+    taken = pa.array(np.repeat(np.arange(len(starts)), size))
+    no = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+    at = [p for s in starts for p in s]
+    cols = [batch.column(k).take(taken) for k in keys]
+    return pa.RecordBatch.from_arrays([*cols, pa.array(no, pa.int32()), pa.array(at, pa.int32())], names=[*keys, "sentence_no", "char_pos"])
 
 
-def split_sentences(df: DataFrame, column: str, keys: list[str], chunk: int = CHUNK) -> DataFrame:
+def split_sentences(df: DataFrame, column: str, keys: list[str], chunk: int = CHUNK, spread: int = SPREAD, far_chunk: int = FAR_CHUNK) -> DataFrame:
     """One row per sentence: keys, sentence_no (from 0) and char_pos, the place it starts.
 
-    keys identify a text; a key that occurs again with the same text is listed once. Texts
-    up to ``chunk`` code points take one pass; longer ones go through chunk functions and a
-    prefix scan.
+    keys identify a text; a key that occurs again with the same text is listed once. The
+    chunks of texts over ``spread`` code points go to different tasks; results are the same
+    for any sizes.
     """
     slim = df.select(*[F.col(k) for k in keys], F.col(column).alias("__text")).where(F.length("__text") > 0)
     types = dict(slim.dtypes)
     schema = ", ".join(f"`{k}` {types[k]}" for k in keys) + ", sentence_no int, char_pos int"
-    small = slim.where(F.length("__text") <= chunk).mapInArrow(lambda it: _explode(it, keys, "__text"), schema)
-    large = _long_texts(slim.where(F.length("__text") > chunk), keys, types, chunk, schema)
-    return small.unionByName(large).dropDuplicates([*keys, "sentence_no"])
 
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield _rows(batch, keys, batch_starts(batch.column("__text").to_pylist(), chunk))
+
+    small = slim.where(F.length("__text") <= spread).mapInArrow(near, schema)
+    large = _far_texts(slim.where(F.length("__text") > spread), keys, far_chunk)
+    return small.unionByName(large).dropDuplicates([*keys, "sentence_no"])
 
-def _long_texts(df: DataFrame, keys: list[str], types: dict[str, str], chunk: int, schema: str) -> DataFrame:
-    """The path for texts over the chunk size; see the module's head."""
-    key_schema = ", ".join(f"`{k}` {types[k]}" for k in keys)
-    # null-safe id of a text, so that null keys stay apart from each other's text
-    df = df.dropDuplicates(keys)
-
-    def flagged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            found = [scripts(readable(t)) for t in b.column("__text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(found, pa.list_(pa.bool_()))], names=[*b.schema.names, "__f"])
-
-    # the scripts of the whole text, so that a chunk follows the rules the text would in one pass
-    df = df.mapInArrow(flagged, f"{key_schema}, __text string, __f array<boolean>")
-    pieces = (
-        df.withColumn("__n", F.length("__text"))
-        .withColumn("__c", F.explode(F.expr(f"sequence(0, cast((__n - 1) div {chunk} as int))")))
-        .select(
-            *keys,
-            "__c",
-            "__f",
-            F.least(F.lit(BACK), F.col("__c") * chunk).cast("int").alias("__lo"),
-            F.expr(f"substring(__text, greatest(__c * {chunk} - {BACK}, 0) + 1, {chunk} + {BACK + AHEAD})").alias("__p"),
-        )
-    )
 
-    def functions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            fns = [chunk_function(readable(p), lo, lo + chunk, f) for p, lo, f in zip(*(b.column(x).to_pylist() for x in ("__p", "__lo", "__f")), strict=True)]
-            yield pa.RecordBatch.from_arrays([*(b.column(k) for k in keys), b.column("__c"), pa.array(fns, pa.list_(pa.int16()))], names=[*keys, "__c", "__fn"])
+_ENDS = "array<struct<spoke:boolean,after:int>>"
+
+
+def _far_texts(df: DataFrame, keys: list[str], chunk: int) -> DataFrame:
+    """Texts whose chunks go to different tasks. A text is read whole only where it is cut; later steps see chunks or places."""
+    # a struct, so that null keys are equal to each other
+    slim = df.select(F.struct(*keys).alias("__k"), "__text").dropDuplicates(["__k"])
+    kind = slim.schema["__k"].dataType.simpleString()
+
+    def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, text in enumerate(batch.column("__text").to_pylist()):
+                lo = 0
+                for n, hi in enumerate(cuts(text, chunk)):
+                    base = max(lo - BACK, 0)
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column("__k").slice(i, 1), *(pa.array([x], pa.int32()) for x in (n, base, lo - base, hi - base)), pa.array([text[base : hi + AHEAD]], pa.string())],
+                        names=["__k", "__c", "__base", "__lo", "__hi", "__p"],
+                    )
+                    lo = hi
+
+    def lexed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            base, lo, hi, part, no = (batch.column(c).to_pylist() for c in ("__base", "__lo", "__hi", "__p", "__c"))
+            seen = [readable(p) for p in part]
+            got = [tokens_of(p, a, b) for p, a, b in zip(seen, lo, hi, strict=True)]
+            place = lambda x, o: x + o if x >= 0 else -1
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("__k"),
+                    batch.column("__c"),
+                    pa.array(list(chunk_functions([g[1] for g in got])), pa.list_(pa.int16())),
+                    pa.array([place(g[0], o) for g, o in zip(got, base, strict=True)], pa.int32()),
+                    pa.array([g[1] for g in got], pa.list_(pa.int8())),
+                    pa.array([[place(x, o) for x in g[2]] for g, o in zip(got, base, strict=True)], pa.list_(pa.int32())),
+                    pa.array([p[: LABEL_REACH + 1] if n == 0 else "" for p, n in zip(seen, no, strict=True)], pa.string()),
+                ],
+                names=["__k", "__c", "__fn", "__lead", "__y", "__at", "__head"],
+            )
 
     def scan(pdf):
         pdf = pdf.sort_values("__c")
-        done = compose_scan(np.stack([np.asarray(f, dtype=np.int64) for f in pdf["__fn"]]))
-        pdf["__s"] = np.concatenate(([START], done[:-1, START])).astype("int32")
-        return pdf[[*keys, "__c", "__s"]]
-
-    fn = pieces.mapInArrow(functions, f"{key_schema}, __c int, __fn array<smallint>")
-    begun = fn.groupBy(*keys).applyInPandas(scan, f"{key_schema}, __c int, __s int")
-    same = [pieces[k].eqNullSafe(begun[k]) for k in keys]
-    joined = pieces.join(begun, on=[*same, pieces["__c"] == begun["__c"]], how="inner").select(
-        *[pieces[k] for k in keys], pieces["__c"], "__lo", "__p", "__f", "__s"
-    )
-
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            ends = []
-            for p, lo, c, f, s in zip(*(b.column(x).to_pylist() for x in ("__p", "__lo", "__c", "__f", "__s")), strict=True):
-                shift = c * chunk - lo
-                ends.append([e + shift for e in run(readable(p), s, lo, lo + chunk, f)[1]])
-            yield pa.RecordBatch.from_arrays([*(b.column(k) for k in keys), pa.array(ends, pa.list_(pa.int32()))], names=[*keys, "__e"])
-
-    ends = joined.mapInArrow(emit, f"{key_schema}, __e array<int>").groupBy(*keys).agg(F.array_sort(F.flatten(F.collect_list("__e"))).alias("__e"))
-    same = [df[k].eqNullSafe(ends[k]) for k in keys]
-    whole = df.join(ends, on=same, how="inner").select(*[df[k] for k in keys], "__text", "__e")
-
-    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            rows, at, no = [], [], []
-            for i, (text, es) in enumerate(zip(b.column("__text").to_pylist(), b.column("__e").to_pylist(), strict=True)):
-                text = readable(text)
-                found = starts_from_ends(text, es)
-                if len(found) > 1 and LABEL_ONLY.match(text, 0, found[1]):
-                    found.pop(0)
-                for k, p in enumerate(found):
-                    rows.append(i)
-                    at.append(p)
-                    no.append(k)
-            taken = pa.array(rows, pa.int64())
-            yield pa.RecordBatch.from_arrays([*(b.column(k).take(taken) for k in keys), pa.array(no, pa.int32()), pa.array(at, pa.int32())], names=[*keys, "sentence_no", "char_pos"])
-
-    return whole.mapInArrow(finish, schema)
+        done = compose_scan(np.stack([np.asarray(f, dtype=np.int16) for f in pdf["__fn"]]))
+        return pdf[["__k", "__c"]].assign(__s=np.concatenate(([START], done[:-1, START])).astype("int32"))
+
+    def emitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lead, y, at, state = (batch.column(c).to_pylist() for c in ("__lead", "__y", "__at", "__s"))
+            got = [emit(*x) for x in zip(lead, y, at, state, strict=True)]
+            ends = pa.array([[{"spoke": s, "after": a} for s, a in g[1]] for g in got], pa.list_(pa.struct([("spoke", pa.bool_()), ("after", pa.int32())])))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("__k", "__c", "__lead", "__head")), ends, pa.array([g[2] for g in got], pa.bool_())], names=["__k", "__c", "__lead", "__head", "__e", "__spoke"])
+
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for parts in batch.column("__parts").to_pylist():
+                found.append(join_chunks([(p["__lead"], [(e["spoke"], e["after"]) for e in p["__e"]], p["__spoke"]) for p in parts], parts[0]["__head"]))
+            flat = pa.RecordBatch.from_arrays([*(batch.column("__k").field(i) for i in range(len(keys)))], names=keys)
+            yield _rows(flat, keys, found)
+
+    pieces = slim.mapInArrow(slices, f"__k {kind}, __c int, __base int, __lo int, __hi int, __p string").repartition("__k", "__c")
+    # read twice, by the scan and by the emission: the exchange after it is shared
+    tokens = pieces.mapInArrow(lexed, f"__k {kind}, __c int, __fn array<smallint>, __lead int, __y array<tinyint>, __at array<int>, __head string").repartition("__k", "__c")
+    begun = tokens.select("__k", "__c", "__fn").groupBy("__k").applyInPandas(scan, f"__k {kind}, __c int, __s int")
+    done = tokens.drop("__fn").join(begun, ["__k", "__c"]).mapInArrow(emitted, f"__k {kind}, __c int, __lead int, __head string, __e {_ENDS}, __spoke boolean")
+    whole = done.groupBy("__k").agg(F.array_sort(F.collect_list(F.struct("__c", "__lead", "__head", "__e", "__spoke"))).alias("__parts"))
+    types = dict(df.dtypes)
+    return whole.mapInArrow(joined, ", ".join(f"`{k}` {types[k]}" for k in keys) + ", sentence_no int, char_pos int")
