@@ -36,6 +36,8 @@ SLOT_BITS = 20
 #: Cost of a change of language, in n-grams.
 SWITCH = 9.0
 MIN_GRAMS = 3
+#: What a whole text needs for a sure answer.
+TELL_SHARE, TELL_LEAD = 0.5, 0.12
 
 #: Other notations of the seven languages.
 NOTATIONS = {
@@ -164,6 +166,29 @@ class Filters:
         return out, size
 
 
+    def by_text(self, grams: Grams) -> tuple[np.ndarray, np.ndarray]:
+        """(text, language) corrected counts, and n-grams a text."""
+        if not grams.n_docs:
+            return np.zeros((0, len(LANGUAGES))), np.zeros(0)
+        counts, size = self.counts(grams)
+        total = np.zeros((grams.n_docs, len(LANGUAGES)))
+        np.add.at(total, grams.sentence_doc, counts)
+        return total, np.bincount(grams.sentence_doc, weights=size, minlength=grams.n_docs)
+
+    def tell(self, grams: Grams) -> np.ndarray:
+        """Language of each text as a whole, -1 where it can't be told."""
+        return told(*self.by_text(grams))
+
+
+def told(counts: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The language that holds at least TELL_SHARE of a text's n-grams and leads by TELL_LEAD of them, or -1."""
+    if not len(counts):
+        return np.zeros(0, np.int64)
+    two = np.sort(counts, axis=1)[:, -2:]
+    sure = (size >= MIN_GRAMS) & (two[:, 1] >= TELL_SHARE * size) & (two[:, 1] - two[:, 0] >= TELL_LEAD * size)
+    return np.where(sure, counts.argmax(axis=1), -1)
+
+
 def build_filters(rows: list[tuple[str, str]]) -> Filters:
     """Filters from (language, text) rows."""
     rate: dict[str, tuple[np.ndarray, np.ndarray]] = {}

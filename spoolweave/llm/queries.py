@@ -97,7 +97,7 @@ def p5_parts(spark: SparkSession, d: str) -> DataFrame:
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     tune(spark)
-    return pairs.broken_pairs(table(spark, d, "llm_decision"))
+    return pairs.broken_pairs(table(spark, d, "llm_decision"), table(spark, d, "documents"))
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
