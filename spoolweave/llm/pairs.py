@@ -22,7 +22,8 @@ Everything else covers every row, a whole Arrow batch at a time.
 
 Defined cases: rows without success are left out; a null or blank answer is empty unless
 the source is no_change; a null prompt has no instruction and no candidates, so only empty
-and refusal can be told; without labelled documents no answer is found foreign; a
+and refusal can be told; without any prompt to learn from only empty can; without labelled
+documents languages are told by script at most; a
 redelivered row counts once; extra columns are ignored.
 """
 
@@ -175,6 +176,19 @@ def _inside(at: np.ndarray, total: int) -> tuple[np.ndarray, np.ndarray]:
     return string[ok], pos[ok]
 
 
+#: Code of an untold language in narrow letters, and those of the told ones.
+NARROW = len(languages.LANGUAGES)
+_NARROW_SET = np.array([languages.LANGUAGES.index(k) for k in ("en", "de", "fr", "es")] + [NARROW])
+
+
+def _kinship(own: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """0 where a language is one of the known (a bit each), 1 where it is not, 2 where that can't be told."""
+    has = (known >> np.maximum(own, 0)) & 1 == 1
+    narrow = np.isin(own, _NARROW_SET)
+    vague = (own == NARROW) & ~has | narrow & ((known >> NARROW) & 1 == 1) & ~has | (own == NARROW) & has
+    return np.where((own < 0) | (known == 0) | vague, 2, np.where(has, 0, 1))
+
+
 class Batch:
     """Features of all clauses of many pairs (instruction, candidates, answer clauses) at once."""
 
@@ -238,8 +252,9 @@ class Batch:
         for c in tiny:
             f, r = text(clause[c]), int(self.row[c])
             others = [text(i) for i in range(first[r], first[r + 1]) if slot[i] >= 0]
-            # a few letters stand in any instruction by chance
-            cand[c], inst[c] = float(any(f in o for o in others[1:])), float(len(f) >= GRAM and f in others[0])
+            # two or three narrow letters stand anywhere by chance; they must be the whole candidate
+            wordy = sum(2.5 if ch >= "\u2e80" else 1 for ch in f) >= GRAM
+            cand[c], inst[c] = float(any(f == o or (wordy and f in o) for o in others[1:])), float(wordy and f in others[0])
             if answer_size[r] < GRAM:
                 for i in range(first[r], first[r + 1]):
                     if 0 <= slot[i] < SLOTS - 1 and size[i]:
@@ -253,6 +268,9 @@ class Batch:
         found = languages.Grams(strings)
         of = found.sentence_doc[found.sentence]
         told = tongue.tell(found)
+        wide = np.bincount(np.repeat(np.arange(len(strings)), size)[letters >= 0x2E80], minlength=len(strings)) if len(strings) else np.zeros(0)
+        # an untold text of narrow letters is in some language that has them
+        told = np.where((told < 0) & (size >= 6) & (wide * 4 < size), NARROW, told)
         known = np.zeros(n, np.int64)
         voiced = is_cand & (told >= 0)
         np.bitwise_or.at(known, row[voiced], np.int64(1) << told[voiced])
@@ -264,14 +282,12 @@ class Batch:
         np.add.at(spoken, self.row, counts[0][clause])
         whole = languages.told(spoken, np.bincount(self.row, weights=counts[1][clause], minlength=n))
         own_tongue = np.where(self.letters >= 12, told[clause], whole[self.row])
-        in_known = (known[self.row] >> np.maximum(own_tongue, 0)) & 1 == 1
-        kind = np.where((own_tongue < 0) | (known[self.row] == 0), 2, np.where(in_known, 0, 1))
-        self.foreign = (whole >= 0) & (known > 0) & ((known >> np.maximum(whole, 0)) & 1 == 0)
+        kind = _kinship(own_tongue, known[self.row])
+        self.foreign = _kinship(whole, known) == 1
         alone = np.bincount(self.row, minlength=n)[self.row] == 1
         last = np.concatenate((self.row[1:] != self.row[:-1], [True])) if m else np.zeros(0, bool)
         left = self.left[self.row]
-        wide = np.bincount(np.repeat(np.arange(len(strings)), size)[letters >= 0x2E80], minlength=len(strings))[clause] if len(strings) else np.zeros(0)
-        room = self.letters + 1.5 * wide  # in narrow letters
+        room = self.letters + 1.5 * wide[clause]  # in narrow letters
         stub = np.zeros(m, bool)
         for c in np.flatnonzero(alone & (self.letters > 0) & (room <= 20)):
             stub[c] = text(clause[c]) in speech.placeholders
@@ -353,6 +369,9 @@ def training_pairs(prompts: list[tuple[str, list[str]]], refusals: Sequence[str]
     for k, (head, cands) in zip(told, prompts, strict=True):
         text = rng.choice(cands)
         add(head, cands, text, ANSWER)
+        # speakers decline as well: what a candidate says is an answer
+        said = " ".join(rng.sample(refusals, min(rng.choice((1, 2)), len(refusals))))
+        add(head, [said, said.rstrip(".。")], said, ANSWER)
         for share in (rng.uniform(0.15, 0.45), rng.uniform(0.45, 0.75)):
             add(head, cands, text[: max(6, int(len(text) * share))], ANSWER, UNFINISHED)
         if head.strip():
@@ -394,7 +413,7 @@ def fit_pairs(rows: list[tuple[int, str]], labelled: list[tuple[str, str]], seed
     if not xs:
         # no prompts to learn from: what is said is an answer, what has no letters is empty
         emit = np.zeros((FEATURES, len(LABELS)))
-        emit[0, ANSWER], emit[23, EMPTY], emit[25, EMPTY], emit[12:15, REFUSAL] = 1, 2, 2, 2
+        emit[0, ANSWER], emit[23, EMPTY], emit[25, EMPTY] = 1, 2, 2
         return Model(crf.Crf(emit, np.zeros((len(LABELS),) * 2), np.zeros(len(LABELS))), whole, tongue)
     return Model(crf.fit(xs, ys, len(LABELS), rounds=100), whole, tongue)
 

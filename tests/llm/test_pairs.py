@@ -78,6 +78,14 @@ def test_refusals_not_learnt_from(model, answer):
         assert model.defects([(head, cands, answer)]) == ["refusal"]
 
 
+def test_speakers_decline_as_well(model):
+    for t in ("Désolée, nous ne pouvions pas aider ce soir-là.", "그날은 도와드릴 수 없었습니다.", "Lo siento, no pudimos ayudar aquella noche."):
+        head, cands = pairs.split_prompt(prompt(t))
+        assert model.defects([(head, cands, t), (head, cands, t.lower().replace(".", "")), (head, cands, "N/A")]) == [None, None, "empty"]
+    head, cands = pairs.split_prompt(prompt("Lo siento, no pudimos ayudar aquella noche."))
+    assert model.defects([(head, cands, TEXTS[2])]) == ["other_language"]
+
+
 def test_batch_equals_one_by_one(model):
     every = [(*pairs.split_prompt(prompt(t)), a) for t in TEXTS for a in (*TEXTS, "", "No.", HEAD, TEXTS[0][:30], "Entschuldigung, dazu sage ich nichts.", TEXTS[1] * 40)]
     assert model.defects(every) == [model.defects([p])[0] for p in every]
@@ -111,7 +119,7 @@ def test_empty_answers(model):
 
 def test_without_prompts_or_documents():
     m = pairs.fit_pairs([], [])
-    assert m.defects([("", [], ""), ("", [], "I cannot help with this request."), ("", [], "The map was blue.")]) == ["empty", "refusal", None]
+    assert m.defects([("", [], ""), ("", [], "I cannot help with this request."), ("", [], "The map was blue.")]) == ["empty", None, None]
     assert languages.told(np.zeros((0, 7)), np.zeros(0)).tolist() == []
 
 
