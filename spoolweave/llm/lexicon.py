@@ -17,11 +17,11 @@ NOTE_WORDS = (
     "音乐 笑声 掌声 咳嗽 噪音 沉默 停顿 听不清 "
     "음악 웃음 박수 기침 잡음 침묵 소음"
 ).split()
-_WORD = "|".join(sorted({re.escape(w) for w in NOTE_WORDS}, key=len, reverse=True))
+WORDS = "|".join(sorted({re.escape(w) for w in NOTE_WORDS}, key=len, reverse=True))
 #: One sound note; double brackets nest.
 NOTE = (
-    f"(?:{OPEN}{{1,2}}[ 　♪♫〜~]{{0,6}}(?:{_WORD})[ 　♪♫〜~]{{0,6}}{CLOSE}{{1,2}}"
-    "|♪[^♪\n。]{0,30}♪|[♪♫][〜~]?|\\*[^*\n]{1,24}\\*|※(?:" + _WORD + ")※)"
+    f"(?:{OPEN}{{1,2}}[ 　♪♫〜~]{{0,6}}(?:{WORDS})[ 　♪♫〜~]{{0,6}}{CLOSE}{{1,2}}"
+    "|♪[^♪\n。]{0,30}♪|[♪♫][〜~]?|\\*[^*\n]{1,24}\\*|※(?:" + WORDS + ")※)"
 )
 TIME = "\\d{1,2}:\\d{2}(?::\\d{2})?(?:[.,]\\d{1,3})?"
 STAMP = f"(?:{OPEN}?{TIME}(?:[ \\t]{{0,4}}--?>[ \\t]{{0,4}}{TIME})?{CLOSE}?)"

@@ -144,7 +144,7 @@ def _key(text: str) -> str:
     return cm.text_of(letters)
 
 
-FEATURES = 37
+FEATURES = 40
 GRAM = 4
 _MIX, _SALT = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 SLOTS = 8  # of a row in the pool of n-grams: up to seven candidates, and the instruction last
@@ -309,11 +309,13 @@ class Batch:
         x[:, 27] = (cand >= 0.5) & (kind == 0)
         x[:, 28] = last & (left > OPEN_SHARE) & (cand >= 0.3)
         x[:, 29] = own_words & (kind == 0)
-        x[:, 30] = own_words & (kind == 2)
+        asked = (cand_size > 0).any(axis=1)[self.row] if m else np.zeros(0, bool)
+        x[:, 30] = own_words & (kind == 2) & asked
         # like transcripts, in n-grams that speech has and no refusal; less so; like neither; like refusals
         x[every, 31 + np.select([(level <= 2) & (pure >= 0.6), level <= 2, level <= 3], [0, 1, 2], 3)] = own_words & (kind == 1)
         x[:, 35] = (level >= 4) & (cand < 0.5)
         x[:, 36] = (self.letters < 6) & (cand < 0.2)
+        x[every, 37 + np.minimum(np.digitize(level, (3, 4)), 2)] = ~asked
         self.x = x
 
     def defects(self, model: crf.Crf) -> list[str | None]:
@@ -372,6 +374,7 @@ def training_pairs(prompts: list[tuple[str, list[str]]], refusals: Sequence[str]
         # speakers decline as well: what a candidate says is an answer
         said = " ".join(rng.sample(refusals, min(rng.choice((1, 2)), len(refusals))))
         add(head, [said, said.rstrip(".。")], said, ANSWER)
+        add("", [], *rng.choice(((text, ANSWER), (said, REFUSAL))))
         for share in (rng.uniform(0.15, 0.45), rng.uniform(0.45, 0.75)):
             add(head, cands, text[: max(6, int(len(text) * share))], ANSWER, UNFINISHED)
         if head.strip():

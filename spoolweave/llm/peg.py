@@ -1,4 +1,4 @@
-"""A small parsing-expression-grammar engine: ordered choice, greedy repetition, no backtracking out of a match."""
+"""A small parsing-expression-grammar engine: ordered choice, greedy repetition, recursion by name, semantic checks; no backtracking out of a match."""
 
 from __future__ import annotations
 
@@ -78,3 +78,30 @@ def node(name: str, part: Parser) -> Parser:
         return got[0], [(name, got[1], at, got[0])]
 
     return parse
+
+
+def lazy(rule: Callable[[], Parser], deepest: int = 64) -> Parser:
+    """A rule looked up when it is used, so that rules can call themselves; nesting beyond ``deepest`` does not match."""
+    depth = 0
+
+    def parse(text: str, at: int):
+        nonlocal depth
+        if depth >= deepest:
+            return None
+        depth += 1
+        try:
+            return rule()(text, at)
+        finally:
+            depth -= 1
+
+    return parse
+
+
+def check(part: Parser, test: Callable[[str, int, int], bool]) -> Parser:
+    """What the rule matches, if the test of (text, start, end) holds."""
+
+    def parse(text: str, at: int):
+        got = part(text, at)
+        return got if got is not None and test(text, at, got[0]) else None
+
+    return parse

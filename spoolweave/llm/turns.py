@@ -1,9 +1,12 @@
 """Problem 1: transcript units into clean, ordered speaker turns.
 
-Each unit's text is parsed by a parsing-expression grammar (nested annotations, time
-stamps, speaker labels in many spellings, fillers, speech); the parse tree gives the label,
-the clean utterance and whether anything was said. Labels are matched with the roster of
-the episode.
+Each unit's text is parsed by a recursive parsing-expression grammar (annotations that nest,
+time stamps, speaker labels in many spellings, fillers, speech); the parse tree gives the
+label, the clean utterance and whether anything was said. An annotation is told by its
+shape and place, not by its words: a bracket, with up to 64 brackets in each other, that holds no
+sentence; round brackets of more than two words only apart from a sentence (see _is_note).
+Labels are matched with the roster of the episode; a bracketed name the roster does not
+know is an annotation, one before a colon or dash is speech.
 
 The speaker at a unit is the state of a small automaton: a label sets it, a change hint
 flips it (episodes of two speakers), everything else keeps it. Its effects compose, so the
@@ -31,7 +34,7 @@ from pyspark.sql import functions as F
 
 from spoolweave.llm import lexicon as lx
 from spoolweave.llm.lookalike import forms
-from spoolweave.llm.peg import choice, node, opt, seq, star, tok
+from spoolweave.llm.peg import check, choice, lazy, node, opt, seq, star, tok
 from spoolweave.session import cut
 
 BLOCK_SECONDS = 600.0
@@ -50,14 +53,37 @@ HONORIFIC = re.compile("(?:さん|さま|様|氏|くん|君|ちゃん|先生|老
 
 _space = tok("", "[ \\t\\n]+")
 _stamp = tok("stamp", lx.STAMP)
-_note = tok("note", lx.NOTE)
+_open, _close = tok("", lx.OPEN), tok("", lx.CLOSE)
+_inner = tok("", "[^\\[\\](){}<>（）［］【】〈〉〔〕｛｝＜＞。！？!?\n]+")
+_bracket = seq(_open, star(choice(lazy(lambda: _bracket), _inner)), _close)
+_note_word = re.compile(f"{lx.OPEN}+[ ♪♫〜~]*(?:{lx.WORDS})[ ♪♫〜~]*{lx.CLOSE}+", re.I)
+_before = re.compile("(?:^|[。！？!?.…\\])>）］】〉〕♪♫]|\\d)\\s*$")
+_after = re.compile("[\\s。、．，.,!?！？…]*$")
+
+
+def _is_note(text: str, a: int, b: int) -> bool:
+    """Whether the bracket text[a:b] is an annotation: square, pointed or doubled, or a word or two, or apart from a sentence."""
+    inner = text[a + 1 : b - 1]
+    words = len(inner.split())
+    if words > 8 or sum(map(str.isalnum, inner)) > 40 or re.search("[.…]\\s*$", inner):
+        return False
+    if text[a] not in "(（" or inner[:1] in "(（" or _note_word.fullmatch(text, a, b):
+        return True
+    wide = sum(c >= "\u2e80" for c in inner)
+    if words <= 2 and wide <= 4:
+        return True
+    return _before.search(text, max(a - 8, 0), a) is not None or _after.match(text, b) is not None
+
+
+_note = choice(node("note", check(_bracket, _is_note)), tok("note", "♪[^♪\n。]{0,30}♪|[♪♫][〜~]?|\\*[^*\n]{1,24}\\*|※[^※\n。]{1,12}※"))
 _name = "([^\\s:|—–\\[\\]()<>【】〈〉《》{}、。,!?「」『』“”\"※*♪/-][^\\s:|—–\\[\\]()<>【】〈〉《》{}、。,!?「」『』“”\"※*♪/-]{0,23})"
-_bracketed = tok("name", f"[\\[(<【〈《]\\s?{_name}\\s?[\\])>】〉》]")
+_bracketed = tok("bracketed", f"[\\[(<【〈《]\\s?{_name}\\s?[\\])>】〉》]")
 _arrow = tok("name", f">>\\s*{_name}\\s*:")
 _dash = tok("name", f"[-–—]\\s+{_name}\\s*:")
 _plain = tok("name", f"{_name}(?:\\s?[:|]|\\s?[—–](?=\\s|\\S)|\\s-\\s)")
-LABEL = node("label", choice(_arrow, _dash, _bracketed, _plain))
-MARKS = star(choice(_space, _note, _stamp))
+LABEL = node("label", choice(_arrow, _dash, _plain))
+#: What may stand before a label; a bracketed name is a label if the roster knows it, and else an annotation.
+MARKS = star(choice(_space, _stamp, _bracketed, _note))
 FILLER = tok("filler", f"(?<![\\w]){lx.FILLER}(?![\\w])[、,…\\.。]*")
 WORDS = tok("text", "[\\w'’]+")
 OTHER = tok("text", ".|\\n")
@@ -84,14 +110,17 @@ TIDY = re.compile("^[\\s、,;:—–-]+|(?<=[\\s])(?=[、。,.!?])")
 SIMPLE = re.compile("[\\[(<【〈《♪*※:|—–>\\d-]|" + lx.FILLER, re.I)
 
 
-def parse_unit(text: str) -> tuple[str | None, bool, str, str]:
-    """(label key, speech without the label, clean text without the label, label's own text)."""
+def parse_unit(text: str) -> tuple[list[str], bool, str, str]:
+    """(label keys, speech without the label, clean text without the label, text that is speech if the keys name nobody)."""
     _, tree = UNIT(text, 0)
-    label, own, parts, said = None, "", [], False
+    keys, own, parts, said = [], "", [], False
     for name, value, a, b in tree:
         if name == "label":
-            label = key_of(value[0][1].group(1))
+            # names before a colon or dash go first; they are speech if nobody has them
+            keys.insert(0, key_of(value[0][1].group(1)))
             own = text[a:b]
+        elif name == "bracketed":
+            keys.append(key_of(value.group(1)))
         elif name == "body":
             for kind, _, x, y in value:
                 if kind == "text":
@@ -105,17 +134,18 @@ def parse_unit(text: str) -> tuple[str | None, bool, str, str]:
         clean.append(piece)
         last = x + len(piece)
     body = TIDY.sub("", SPACES.sub(" ", "".join(clean))).strip()
-    return label, said, body, own
+    return [k for k in keys if k], said, body, own
 
 
 def _parse(batches: Iterator[pa.RecordBatch], text_too: bool) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = [t or "" for t in batch.column("text").to_pylist()]
-        keys, said, clean, own = [], [], [], []
+        keys, said, worded, clean, own = [], [], [], [], []
         for form in forms(texts):
             k, s, c, o = parse_unit(form)
-            keys.append(k)
+            keys.append([x for key in k for x in (key, role_key(key)) if x])
             said.append(s)
+            worded.append(bool(o))
             if text_too:
                 clean.append(c)
                 own.append(o)
@@ -124,9 +154,9 @@ def _parse(batches: Iterator[pa.RecordBatch], text_too: bool) -> Iterator[pa.Rec
             "sentence_id": batch.column("sentence_id"),
             "start_sec": batch.column("start_sec"),
             "hinted": batch.column("hinted"),
-            "label_key": pa.array(keys, pa.string()),
-            "role_key": pa.array([role_key(k) for k in keys], pa.string()),
+            "label_keys": pa.array(keys, pa.list_(pa.string())),
             "said": pa.array(said, pa.bool_()),
+            "worded": pa.array(worded, pa.bool_()),
         }
         if text_too:
             columns |= {"end_sec": batch.column("end_sec"), "clean": pa.array(clean, pa.string()), "own": pa.array(own, pa.string())}
@@ -138,7 +168,7 @@ def parsed_units(units: DataFrame, text_too: bool = False) -> DataFrame:
     hinted = F.exists("boundary_hints", lambda h: (h["reason"] == CHANGE_REASON) & (h["confidence"] >= MIN_HINT))
     slim = units.select("episode_id", "sentence_id", "start_sec", "end_sec", "text", F.coalesce(hinted, F.lit(False)).alias("hinted"))
     types = dict(slim.dtypes)
-    schema = f"episode_id {types['episode_id']}, sentence_id {types['sentence_id']}, start_sec double, hinted boolean, label_key string, role_key string, said boolean"
+    schema = f"episode_id {types['episode_id']}, sentence_id {types['sentence_id']}, start_sec double, hinted boolean, label_keys array<string>, said boolean, worded boolean"
     if text_too:
         schema += ", end_sec double, clean string, own string"
     slim = slim.withColumn("start_sec", F.col("start_sec").cast("double")).withColumn("end_sec", F.col("end_sec").cast("double"))
@@ -197,8 +227,8 @@ def spoken_units(units: DataFrame, roster: DataFrame, text_too: bool = False, bl
     blocks = parsed.select("episode_id", "block").distinct().join(roster_labels(roster).hint("merge"), "episode_id")
     # a sort-merge join: the maps pack so well that their size in a shuffle says little of their size in memory
     rows = rows.join(blocks.hint("merge"), ["episode_id", "block"])
-    label = F.coalesce(F.col("labels")[F.col("label_key")], F.col("labels")[F.col("role_key")])
-    rows = rows.withColumn("label", label).drop("labels", "role_key")
+    named = F.filter(F.transform("label_keys", lambda k: F.col("labels")[k]), lambda x: x.isNotNull())
+    rows = rows.withColumn("label", F.get(named, F.lit(0))).drop("labels", "label_keys")
     flip = F.col("label").isNull() & F.col("hinted") & (F.size("speakers") == 2)
     run = Window.partitionBy("episode_id", "block").orderBy("start_sec", "sentence_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = rows.withColumn("flips", F.sum(flip.cast("int")).over(run)).withColumn(
@@ -219,11 +249,11 @@ def spoken_units(units: DataFrame, roster: DataFrame, text_too: bool = False, bl
     speaker = F.when(F.col("set_by").isNotNull(), _flipped(F.col("set_by.label"), F.col("flips") - F.col("set_by.at"), F.col("speakers"))).otherwise(
         _flipped(F.col("carried"), F.col("flips"), F.col("speakers"))
     )
-    # a candidate label that names nobody is speech
-    said = F.col("said") | (F.col("label").isNull() & F.col("label_key").isNotNull())
+    # a candidate label that names nobody is speech, if it is no bracket
+    said = F.col("said") | (F.col("label").isNull() & F.col("worded"))
     rows = rows.withColumn("speaker_id", speaker).where(said & F.col("speaker_id").isNotNull())
     if text_too:
-        rows = rows.withColumn("clean", F.when(F.col("label").isNull() & F.col("label_key").isNotNull(), F.concat_ws(" ", F.trim("own"), "clean")).otherwise(F.col("clean")))
+        rows = rows.withColumn("clean", F.when(F.col("label").isNull() & F.col("worded"), F.concat_ws(" ", F.trim("own"), "clean")).otherwise(F.col("clean")))
     return rows
 
 
