@@ -63,10 +63,10 @@ BLANKS = ("", " ", "…", "---", "「」", "\n", '""')
 #: Refusals to learn from, by language; the field is to tell others by what they share with these and by what they lack.
 REFUSAL_SEEDS = (
     "I cannot help with this request.", "I'm sorry, but I am unable to provide an answer for this.", "Unfortunately I must decline to answer.", "As a language model I can't assist with that request.",
-    "I will not answer this question.", "Sorry, that is not something I am able to do.", "I am afraid I have nothing to say about it.", "I would rather not choose, because I could not listen to the recording.",
+    "I will not answer this question.", "Sorry, that is not something I am able to do.", "I am afraid I have nothing to say about it.", "I would rather not choose.",
     "申し訳ありませんが、お答えできません。", "この依頼には対応できません。", "恐れ入りますが、ご要望にはお応えいたしかねます。", "お手伝いできません。回答を控えます。", "ごめんなさい、それは私には判断できないことです。", "確信が持てないので、選ぶことはできません。",
     "Es tut mir leid, das kann ich leider nicht beantworten.", "Dazu darf ich keine Auskunft geben.", "Ich bin nicht in der Lage, diese Anfrage zu bearbeiten.", "Das möchte ich lieber nicht entscheiden.",
-    "Je suis désolé, je ne peux pas répondre à cette demande.", "Il m'est impossible de choisir.", "Je préfère ne pas donner de réponse.", "Malheureusement, cela dépasse mes capacités.",
+    "Je suis désolé, je ne peux pas répondre à cette demande.", "Il m'est impossible de choisir.", "Je préfère ne pas donner de réponse.", "Cela dépasse mes capacités.",
     "Lo siento, no puedo ayudar con esta solicitud.", "No me es posible responder a eso.", "Prefiero no contestar esta pregunta.", "Lamentablemente no soy capaz de decidirlo.",
     "很抱歉，我无法回答这个问题。", "我不能提供这样的帮助。", "对不起，这个请求我没办法处理。", "我不想对此作出选择。",
     "죄송하지만 답변할 수 없습니다.", "이 요청은 도와드릴 수 없습니다.", "저는 그것을 판단할 수 없어요.", "미안하지만 대답하지 않겠습니다.",
@@ -311,8 +311,8 @@ class Batch:
         x[:, 29] = own_words & (kind == 0)
         asked = (cand_size > 0).any(axis=1)[self.row] if m else np.zeros(0, bool)
         x[:, 30] = own_words & (kind == 2) & asked
-        # like transcripts, in n-grams that speech has and no refusal; less so; like neither; like refusals
-        x[every, 31 + np.select([(level <= 2) & (pure >= 0.6), level <= 2, level <= 3], [0, 1, 2], 3)] = own_words & (kind == 1)
+        # most n-grams that speech has and no refusal; more like speech; like neither; like refusals
+        x[every, 31 + np.select([pure >= 0.6, level <= 2, level <= 3], [0, 1, 2], 3)] = own_words & (kind == 1)
         x[:, 35] = (level >= 4) & (cand < 0.5)
         x[:, 36] = (self.letters < 6) & (cand < 0.2)
         x[every, 37 + np.minimum(np.digitize(level, (3, 4)), 2)] = ~asked
