@@ -8,6 +8,7 @@ by block of time and carries only the last row's texts (see ordered.forgetful_fo
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from typing import Any
 
 import pandas as pd
@@ -93,8 +94,24 @@ def downgraded(x: Column) -> Column:
     )
 
 
-def selected(flagged: DataFrame) -> DataFrame:
-    """Scores, choice, downgrade of a cut primary text, and switch away from error phrases.
+def arbitrated(df: DataFrame, arbiter: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The chosen row as the arbiter's decisions leave it."""
+    keys = ["episode_id", "block_id"]
+    chosen = df.select(
+        *keys, F.col("__x.chosen.source").alias("selected_source"), F.col("__x.chosen.text").alias("final_text"), F.col("__x.chosen.local").alias("selected_score"),
+        "risk_flags", "qwen_apple_difference_type", *[f"{s}_text" for s in tb.SOURCES],
+    )
+    done = arbiter(chosen).select(*keys, F.col("selected_source").alias("__s"), F.col("final_text").alias("__t"), F.col("method").alias("__m"))
+    df = df.join(done, keys, "left")
+    held = F.col("__x.chosen")
+    moved = F.when(F.col("__m").isin("kept", "rejected") | F.col("__m").isNull(), held).otherwise(
+        held.withField("source", F.col("__s")).withField("text", F.col("__t")).withField("norm", tx.match_norm(F.col("__t")))
+    )
+    return cut(df.withColumn("__x", F.col("__x").withField("chosen", moved)).drop("__s", "__t"))
+
+
+def selected(flagged: DataFrame, arbiter: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Scores, choice, downgrade of a cut primary text, arbitration if asked for, and switch away from error phrases.
 
     Each step is written once: the steps look back at each other's columns so often that one
     nested plan would grow beyond use.
@@ -102,6 +119,7 @@ def selected(flagged: DataFrame) -> DataFrame:
     df = cut(flagged.withColumn("__list", candidate_list()))
     ranked = tx.let(F.struct(F.col("__list").alias("list"), best_of(F.col("__list")).alias("top")), downgraded)
     df = cut(df.withColumn("__x", ranked).drop("__list"))
+    df = arbitrated(df, arbiter) if arbiter else df.withColumn("__m", F.lit(None).cast("string"))
     bad = tx.has_error_phrase(F.col("__x.chosen.text"))
     size = F.greatest(F.length("__x.chosen.text"), F.lit(1))
     ratios = []
@@ -114,7 +132,7 @@ def selected(flagged: DataFrame) -> DataFrame:
     switch = best_of(F.array_compact(F.array(*ratios)))
     df = df.withColumn("__pick", F.coalesce(switch["c"], F.col("__x.chosen")))
     moved = F.col("__pick.source") != F.col("__x.chosen.source")
-    method = F.when(moved, "deterministic_domain_error_avoidance").when(F.col("__x.chosen.source") != F.col("__x.top.source"), "deterministic_qwen_downgraded").otherwise("deterministic_ranked")
+    method = F.when(moved, "deterministic_domain_error_avoidance").when(~F.col("__m").isin("kept", "rejected"), F.col("__m")).when(F.col("__x.chosen.source") != F.col("__x.top.source"), "deterministic_qwen_downgraded").otherwise("deterministic_ranked")
     df = df.select(
         *[c for c in flagged.columns],
         F.col("__x.top.source").alias("ranked_source"),
@@ -194,10 +212,12 @@ def cleaned(df: DataFrame, hinted: DataFrame, width: float = BLOCK_SECONDS) -> D
     return od.forgetful_fold(slim, ["episode_id"], order, _cleanup, CLEANED, "struct<final:string,chosen:string>")
 
 
-def final_blocks(flagged: DataFrame, units: DataFrame, punctuate: bool = True, width: float = BLOCK_SECONDS) -> DataFrame:
+def final_blocks(
+    flagged: DataFrame, units: DataFrame, punctuate: bool = True, width: float = BLOCK_SECONDS, arbiter: Callable[[DataFrame], DataFrame] | None = None
+) -> DataFrame:
     """The final text of every block: chosen, cleaned, corrected, displayed, flagged, times clamped."""
     # read by the cleanup fold and by what follows it
-    df = cut(selected(flagged))
+    df = cut(selected(flagged, arbiter))
     hinted = (
         df.select("episode_id", "block_id", F.explode("sentence_ids").alias("sentence_id"))
         .join(units.where(F.exists("boundary_hints", lambda h: h["type"] == tb.HINT_TYPE)).select("episode_id", "sentence_id"), ["episode_id", "sentence_id"])

@@ -10,7 +10,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spoolweave.operators import alignment, candidates, fusion, reports, risk, segmentation, validation
+from spoolweave.operators import alignment, arbitration, candidates, fusion, reports, risk, segmentation, validation
 from spoolweave.session import cut
 from spoolweave.sources import episodes, sinks
 
@@ -44,7 +44,7 @@ def anchor_candidates(blocks: DataFrame, like: DataFrame) -> DataFrame:
     return blocks.select(*[own.get(n, F.lit(None)).cast(t).alias(n) for n, t in like.dtypes])
 
 
-def run_episodes(spark: SparkSession, folder: str, prefix: str | None = None, swapped: bool = True, punctuate: bool = True, mode: str = "full") -> Run:
+def run_episodes(spark: SparkSession, folder: str, prefix: str | None = None, swapped: bool = True, punctuate: bool = True, mode: str = "full", model=None) -> Run:
     """All stages from a folder of source files."""
     files = episodes.list_files(spark, folder, prefix, content=True)
     timeline = cut(episodes.anchor_timeline(files))
@@ -55,13 +55,14 @@ def run_episodes(spark: SparkSession, folder: str, prefix: str | None = None, sw
     aligned = cut(alignment.align_engines(texts))
     found = candidates.build(blocks, texts, aligned, mode, swapped)
     rows = found.unionByName(anchor_candidates(blocks, found))
-    return run_fusion(units, blocks, rows, punctuate)
+    return run_fusion(units, blocks, rows, punctuate, model)
 
 
-def run_fusion(units: DataFrame, blocks: DataFrame, found: DataFrame, punctuate: bool = True) -> Run:
-    """The stages after the candidates (also the way to resume)."""
+def run_fusion(units: DataFrame, blocks: DataFrame, found: DataFrame, punctuate: bool = True, model=None, cache: DataFrame | None = None) -> Run:
+    """The stages after the candidates (also the way to resume). A model, if given, arbitrates doubtful blocks; cache holds its earlier decisions."""
+    ask = arbitration.arbiter(model, cache) if model else None
     flagged = cut(risk.normalized_blocks(risk.flagged_blocks(blocks, found)))
-    finals = cut(fusion.final_blocks(flagged, units, punctuate))
+    finals = cut(fusion.final_blocks(flagged, units, punctuate, arbiter=ask))
     return Run(units, blocks, found, flagged, finals, fusion.final_sentences(finals, units), reports.final_summary(finals))
 
 

@@ -50,11 +50,10 @@ def plain_search(target, asr, start, end, radius):
                 best = (*key, y)
                 stop = v >= 0.96 and 0.75 <= len(c) / s.size <= 1.35
 
-    starts = s._seeded_starts() if s.coarse else range(s.left, s.last_start + 1, 2)
-    visit([(x, y) for x in starts for y in (s._spread_ends(x) if s.coarse else s._grid_ends(x))])
+    visit(s.first_pairs().tolist())
     if s.coarse and not stop and best:
         s.best = best
-        visit(s._near_pairs())
+        visit(s.near_pairs().tolist())
     return best
 
 
@@ -105,3 +104,16 @@ def test_tables(spark):
     assert len(got) == 10 and got[("b2", "whisper")].skipped and got[("b2", "whisper")].unusable_reason == ["global_alignment_low"]
     assert body[106:154] in got[("b2", "qwen")].text and got[("b2", "qwen")].usable_for_agreement
     assert np.isfinite([r.local_alignment_score for r in got.values()]).all()
+
+
+def test_chunks_read_what_whole_texts_hold(spark):
+    """Searching by small chunks of blocks finds what searching whole texts finds, and what is moved grows with the text."""
+    rng = random.Random(11)
+    body = text(rng, 1500)
+    engine = "".join(c if rng.random() > 0.1 else rng.choice(["", "x", c + c]) for c in body)
+    texts = spark.createDataFrame([("e", "apple", body), ("e", "qwen", engine), ("e", "whisper", engine[::2])], "episode_id string, source string, raw_text string")
+    aligned = al.align_engines(texts)
+    blocks = spark.createDataFrame([("e", f"b{i:02d}", i * 50, i * 50 + 50) for i in range(30)] + [("e", "none", 1400, 1400)], "episode_id string, block_id string, char_start int, char_end int")
+    for swapped in (True, False):
+        whole, parts = (sorted(map(str, sp.block_candidates(blocks, texts, aligned, swapped=swapped, chunk_chars=n).collect())) for n in (1_000_000, 100))
+        assert whole == parts and len(whole) == 62
