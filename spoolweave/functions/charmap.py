@@ -16,6 +16,9 @@ import numpy as np
 SPAN = 0x110000
 DROP = 0xFFFFFFFF
 BATCH_CHARS = 2_000_000
+#: Planes with letters of alphabets, and compatibility forms of Chinese characters; the ideographs between them stand for themselves.
+MAPPED = (*range(0x20000), *range(0x2F800, 0x2FA1E))
+IDEOGRAPHS = slice(0x20000, 0x323B0)
 _JAMO = re.compile("[\u1100-\u11ff]")
 
 
@@ -42,7 +45,7 @@ def _look(code: int) -> int:
 def look_table() -> np.ndarray:
     """Width, compatibility form of one character, kind of space; invisible characters dropped."""
     table = np.arange(SPAN, dtype=np.uint32)
-    for code in range(0x10000):
+    for code in MAPPED:
         if 0x4E00 <= code < 0xA000 or 0xAC00 <= code < 0xD7A4 or 0xD800 <= code < 0xF900:
             continue
         table[code] = _look(code)
@@ -54,10 +57,10 @@ def look_table() -> np.ndarray:
 def letter_table() -> np.ndarray:
     """True for letters and digits."""
     table = np.zeros(SPAN, dtype=bool)
-    for code in range(0x10000):
+    for code in range(0x20000):
         if not 0xD800 <= code < 0xE000:
             table[code] = chr(code).isalnum()
-    table[0x20000:0x32000] = True
+    table[IDEOGRAPHS] = True
     return table
 
 
@@ -71,18 +74,18 @@ def fold_table(marks: bool = False) -> np.ndarray:
     """
     look, letter = look_table(), letter_table()
     table = np.full(SPAN, DROP, dtype=np.uint32)
-    for code in range(0x10000):
+    table[IDEOGRAPHS] = np.arange(IDEOGRAPHS.start, IDEOGRAPHS.stop, dtype=np.uint32)
+    for code in MAPPED:
         if 0xD800 <= code < 0xE000:
             continue
         seen = int(look[code])
         if seen == DROP or not letter[seen]:
             continue
-        if 0x2E80 <= seen < 0xA000 and not 0x3040 <= seen < 0x3100 or 0xAC00 <= seen < 0xD7A4:
+        if 0x2E80 <= seen < 0xA000 and not 0x3040 <= seen < 0x3100 or 0xAC00 <= seen < 0xD7A4 or seen >= 0x20000:
             table[code] = seen
             continue
         base = (chr(seen) if marks else unicodedata.normalize("NFD", chr(seen))[0]).casefold()
         table[code] = ord(base[0]) if base else DROP
-    table[0x20000:0x32000] = np.arange(0x20000, 0x32000, dtype=np.uint32)
     return table
 
 
