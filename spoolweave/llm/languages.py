@@ -69,12 +69,13 @@ def _class_table() -> np.ndarray:
     """Letters folded; digits and other marks to a space; sentence ends to CUT; dots to MARK."""
     fold, letter = cm.fold_table(True), cm.letter_table()
     table = np.full(cm.SPAN, SPACE, dtype=np.uint32)
-    for code in range(cm.SPAN if cm.SPAN < 0x10000 else 0x10000):
+    look = cm.look_table()
+    for code in range(0x20000):
         if fold[code] != cm.DROP and letter[code] and not chr(code).isdigit():
             table[code] = fold[code]
-        elif cm.look_table()[code] == cm.DROP:
+        elif look[code] == cm.DROP:
             table[code] = cm.DROP
-    table[0x20000:0x32000] = np.arange(0x20000, 0x32000, dtype=np.uint32)
+    table[cm.IDEOGRAPHS] = fold[cm.IDEOGRAPHS]
     for ch in "\n\r  。！？!?｡…":
         table[ord(ch)] = CUT
     for ch in ".．":

@@ -1,14 +1,16 @@
 """Problem 3: one consistent form for texts that look the same.
 
 Per text: invisible characters go, spaces and widths and one-character compatibility forms
-become one, the rest is composed (NFC). Then letters that are drawn alike across scripts
-are resolved: each such letter belongs to a class with a spelling per script; the script
-sets of a token's letters are intersected, and the token is spelled in the script they
-share (Latin first where several remain, which settles whole-script confusables). Letters
-shared by kana and kanji take the script of the letters they stand among.
+(of all planes) become one, the rest is composed (NFC). Then letters that are drawn alike
+across scripts are resolved: each such letter belongs to a class with a spelling per script,
+with or without accents. The script sets of a token's letters are intersected; a token of
+one possible script is spelled in it, a token of several (a whole-script confusable) in the
+one most tokens of its sentence, or else of the text, are surely of, Latin first among
+equals. Letters shared by kana and kanji take the script of the letters they stand among.
 
 Spelling depends only on the classes of the letters, so texts that look the same get the
-same form and no others do.
+same form and no others do. The classes written here are fixed values; unicode_classes adds
+those of the public Unicode confusables data that Spark's own ICU library holds.
 
 Defined cases: null or empty texts have no form and no pairs; texts under 20 letters and
 digits are left out of the pairs; equal code points make no pair; a redelivered row counts
@@ -17,6 +19,8 @@ once; extra columns are ignored.
 
 from __future__ import annotations
 
+import unicodedata
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -24,10 +28,11 @@ import numpy as np
 import pyarrow as pa
 import regex
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spoolweave.functions import charmap as cm
+from spoolweave.session import cut
 
 MIN_LETTERS = 20
 
@@ -48,10 +53,38 @@ CJK_ALIKE = {
 HIRAGANA_ALIKE = "へべぺり"
 
 
-@lru_cache(1)
-def skeleton_table() -> np.ndarray:
+#: Letters beyond those above that share the shape of a Latin one: (code point, Latin letter's) pairs.
+Classes = tuple[tuple[int, int], ...]
+
+
+def unicode_classes(spark: SparkSession) -> Classes:
+    """Letters of other alphabets that the Unicode confusables data draws like one Latin letter of the same case.
+
+    Asked once on the driver, of the ICU library among Spark's own jars; none where it is missing.
+    """
+    latin = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    known = {o for others in (*LATIN_ALIKE.values(), *CJK_ALIKE.values()) for o in others} | set(CJK_ALIKE)
+    others = [c for c in map(chr, range(0x250, 0x20000)) if ANY_FOREIGN.match(c) and unicodedata.category(c)[0] == "L" and c not in known and unicodedata.normalize("NFKC", c) == c]
+    try:
+        checker = spark.sparkContext._jvm.com.ibm.icu.text.SpoofChecker.Builder().build()
+        shapes = checker.getSkeleton("\n".join((*latin, *others))).split("\n")
+    except Exception:  # another Spark build may come without the library
+        return ()
+    if len(shapes) != len(latin) + len(others):
+        return ()
+    by_shape: dict[tuple[str, bool], str] = {}
+    for c, shape in zip(latin, shapes, strict=False):
+        by_shape.setdefault((shape, c.isupper()), c)
+    found = [(c, by_shape.get((shape, c.isupper()))) for c, shape in zip(others, shapes[len(latin) :], strict=True)]
+    return tuple((ord(c), ord(to)) for c, to in found if to)
+
+
+@lru_cache(4)
+def skeleton_table(classes: Classes = ()) -> np.ndarray:
     """Letter to the first letter of its class."""
     table = np.arange(cm.SPAN, dtype=np.uint32)
+    for code, to in classes:
+        table[code] = to
     for rep, others in (*LATIN_ALIKE.items(), *CJK_ALIKE.items()):
         for o in others:
             table[ord(o)] = ord(rep)
@@ -117,55 +150,115 @@ def spell_cjk(codes: np.ndarray) -> np.ndarray:
     return out
 
 
-FOREIGN = regex.compile("[\\p{Greek}\\p{Cyrillic}\\p{Armenian}]")
-TOKEN = regex.compile("[\\p{L}\\p{M}]*[\\p{Greek}\\p{Cyrillic}\\p{Armenian}][\\p{L}\\p{M}]*", regex.V0)
-SCRIPTS = (("Cyrillic", regex.compile("\\p{Cyrillic}")), ("Greek", regex.compile("\\p{Greek}")), ("Armenian", regex.compile("\\p{Armenian}")))
+#: Alphabets whose tokens keep their script; others give way to Latin where a letter is drawn like a Latin one.
+SCRIPT_NAMES = ("Cyrillic", "Greek", "Armenian", "Coptic", "Cherokee", "Georgian")
+SCRIPTS = tuple((name, regex.compile(f"\\p{{{name}}}")) for name in SCRIPT_NAMES)
+FOREIGN = regex.compile("[" + "".join(f"\\p{{{n}}}" for n in SCRIPT_NAMES) + "]")
+ANY_FOREIGN = regex.compile("(?![\\p{Latin}\\p{Han}\\p{Hiragana}\\p{Katakana}\\p{Hangul}\\p{Common}\\p{Inherited}])\\p{L}")
+WORD = regex.compile("[\\p{L}\\p{M}]+")
+SENTENCE = regex.compile("[^.!?。！？\n]+|[.!?。！？\n]+")
+MARKED = regex.compile("\\p{Mn}")
+
+
+@lru_cache(4)
+def _by_script(classes: Classes = ()) -> dict[str, dict[str, str]]:
+    """Script -> Latin class letter -> its letter in that script."""
+    out: dict[str, dict[str, str]] = {name: {} for name in SCRIPT_NAMES}
+    pairs = [(rep, o) for rep, others in LATIN_ALIKE.items() for o in others] + [(chr(to), chr(c)) for c, to in classes]
+    for rep, o in pairs:
+        for name, pattern in SCRIPTS:
+            if pattern.match(o):
+                out[name].setdefault(rep, o)
+    return out
 
 
-@lru_cache(1)
-def _by_script() -> dict[str, dict[str, str]]:
-    out: dict[str, dict[str, str]] = {name: {} for name, _ in SCRIPTS}
-    for rep, others in LATIN_ALIKE.items():
-        for o in others:
-            for name, pattern in SCRIPTS:
-                if pattern.match(o):
-                    out[name].setdefault(rep, o)
+@lru_cache(4)
+def _accented(classes: Classes = ()) -> dict[int, str]:
+    """Accented letters of other alphabets to letter and accent, where the bare letter is in a class."""
+    table = skeleton_table(classes)
+    out = {}
+    for c in (*range(0x370, 0x600), *range(0x1F00, 0x2000)):
+        parts = unicodedata.normalize("NFD", chr(c))
+        if len(parts) > 1 and table[ord(parts[0])] != ord(parts[0]):
+            out[c] = parts
     return out
 
 
-def script_sets(token: str) -> list[set[str]]:
-    """Resolved script set of each letter of a token of class letters."""
-    by = _by_script()
+ACCENTED = regex.compile("[\u0370-\u05ff\u1f00-\u1fff]")
+
+
+def script_sets(token: str, classes: Classes = ()) -> list[frozenset[str]]:
+    """Resolved script set of each letter of a token of class letters; accents count with their letter."""
+    by = _by_script(classes)
     out = []
-    for ch in token:
+    for ch in unicodedata.normalize("NFD", token):
         if not ch.isalpha():
             continue
         own = next((name for name, pattern in SCRIPTS if pattern.match(ch)), "Latin")
-        out.append({own} if own != "Latin" else {"Latin", *(n for n, m in by.items() if ch in m)})
+        out.append(frozenset((own,)) if own != "Latin" else frozenset(("Latin", *(n for n, m in by.items() if ch in m))))
     return out
 
 
-def spell_token(token: str) -> str:
-    """A token of class letters in the script that all its letters share; Latin goes first."""
-    sets = script_sets(token)
-    common = set.intersection(*sets) if sets else set()
-    if "Latin" in common or not common:
+def possible_scripts(token: str, classes: Classes = ()) -> frozenset[str]:
+    """Scripts in which all letters of a token can be spelled; none for a token of mixed script."""
+    sets = script_sets(token, classes)
+    return frozenset.intersection(*sets) if sets else frozenset()
+
+
+def spell_token(token: str, script: str = "", classes: Classes = ()) -> str:
+    """A token of class letters in one script, by default the only possible one; Latin and mixed tokens stay as they are."""
+    if not script:
+        common = possible_scripts(token, classes)
+        script = "Latin" if "Latin" in common or not common else min(common, key=SCRIPT_NAMES.index)
+    table = _by_script(classes).get(script)
+    if not table:
         return token
-    name = next(n for n, _ in SCRIPTS if n in common)
-    table = _by_script()[name]
-    return "".join(table.get(c, c) for c in token)
+    return unicodedata.normalize("NFC", "".join(table.get(c, c) for c in unicodedata.normalize("NFD", token)))
+
+
+def spell_text(text: str, classes: Classes = ()) -> str:
+    """Each token of a text of class letters in the script of its sentence, where it can be of several."""
+    if not FOREIGN.search(text):
+        return text
+    can = {w: possible_scripts(w, classes) for w in set(WORD.findall(text))}
 
+    def votes(part: str) -> Counter[str]:
+        return Counter(next(iter(can[w])) for w in WORD.findall(part) if len(can[w]) == 1)
 
-def forms(texts: list[str]) -> list[str]:
+    everywhere = votes(text)
+
+    def spell(part: str) -> str:
+        here = votes(part) or everywhere
+
+        def one(m: regex.Match) -> str:
+            common = can[m.group()]
+            if not common or common == {"Latin"}:
+                return m.group()
+            return spell_token(m.group(), min(common, key=lambda s: (-here[s], s != "Latin", s)), classes)
+
+        return WORD.sub(one, part)
+
+    return "".join(spell(m.group()) for m in SENTENCE.finditer(text))
+
+
+def forms(texts: list[str], classes: Classes = ()) -> list[str]:
     """The consistent form of each text."""
     out: list[str] = []
     plain = cm.looks(texts)
+    table = skeleton_table(classes)
     for a, b in cm.groups(plain):
-        skeleton = skeleton_table()[cm.codes("\0".join(plain[a:b]))]
+        joined = "\0".join(plain[a:b])
+        if ACCENTED.search(joined):
+            joined = joined.translate(_accented(classes))
+        skeleton = table[cm.codes(joined)]
         whole = cm.text_of(spell_cjk(skeleton))
+        if MARKED.search(whole):
+            # an accent after a letter that became another one
+            whole = unicodedata.normalize("NFC", whole)
         if FOREIGN.search(whole):
-            whole = TOKEN.sub(lambda m: spell_token(m.group()), whole)
-        out += whole.split("\0")
+            out += [spell_text(t, classes) for t in whole.split("\0")]
+        else:
+            out += whole.split("\0")
     return out
 
 
@@ -174,18 +267,35 @@ def letters(text: str) -> int:
     return int(cm.letter_table()[codes].sum())
 
 
+KINDS = ("none", "form", "whole", "mixed")
+
+
+def _script_of(ch: str) -> str:
+    if regex.match("[\\p{Katakana}ー]", ch):
+        return "Katakana"
+    return next((n for n in ("Latin", "Han", "Hiragana", *SCRIPT_NAMES) if regex.match(f"\\p{{{n}}}", ch)), "")
+
+
 def kinds(raw: str, form: str) -> str:
-    """What was inconsistent in a text: 'mixed' or 'whole' script confusables, 'form', or 'none'."""
+    """What was inconsistent in a text: 'mixed' or 'whole' script confusables, other 'form', or 'none'.
+
+    A token whose letters changed was mixed if it held letters of the changed script and of
+    the one it is spelled in, and whole if all its letters were of the other script.
+    """
     if raw == form:
         return "none"
-    seen = cm.looks([raw])[0]
-    if seen == form:
+    seen = unicodedata.normalize("NFD", cm.looks([raw])[0])
+    flat = unicodedata.normalize("NFD", form)
+    if seen == flat or len(seen) != len(flat):
         return "form"
-    kind = "whole"
-    for t in regex.findall("[\\p{L}\\p{M}]+", seen):
-        has = {n for n, p in SCRIPTS if p.search(t)}
-        if has and (len(has) > 1 or regex.search("\\p{Latin}", t)) or not has and t not in form and not regex.search("\\p{Latin}", t):
-            kind = "mixed"
+    kind = "form"
+    for m in WORD.finditer(seen):
+        now = flat[m.start() : m.end()]
+        if m.group() == now:
+            continue
+        changed = {_script_of(x) for x, y in zip(m.group(), now, strict=True) if x != y}
+        kept = {_script_of(x) for x, y in zip(m.group(), now, strict=True) if x == y and x.isalpha()}
+        kind = max(kind, "mixed" if kept - changed - {""} else "whole", key=KINDS.index)
     return kind
 
 
@@ -193,10 +303,10 @@ def _hash(text: str) -> bytes:
     return xxhash.xxh3_128_digest(text.encode("utf-8", "surrogatepass"))
 
 
-def _prints(batches: Iterator[pa.RecordBatch], keys: list[str], least: int) -> Iterator[pa.RecordBatch]:
+def _prints(batches: Iterator[pa.RecordBatch], keys: list[str], least: int, classes: Classes) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = batch.column("__text").to_pylist()
-        fs = forms(texts)
+        fs = forms(texts, classes)
         codes = cm.codes("\0".join(fs))
         is_letter = cm.letter_table()[codes]
         counts = np.concatenate(([0], np.cumsum(is_letter)))
@@ -218,34 +328,34 @@ def look_prints(df: DataFrame, column: str, keys: list[str], least: int = MIN_LE
     """keys, form_id and code_id: 128-bit prints of a text's consistent form and of its code points."""
     slim = df.select(*[F.col(k) for k in keys], F.col(column).alias("__text")).where(F.length("__text") >= least)
     schema = ", ".join(f"`{k}` {t}" for k, t in slim.dtypes if k != "__text") + ", form_id binary, code_id binary"
-    return slim.mapInArrow(lambda it: _prints(it, keys, least), schema)
+    classes = unicode_classes(df.sparkSession)
+    return slim.mapInArrow(lambda it: _prints(it, keys, least, classes), schema)
 
 
 def look_pairs(prints: DataFrame, group: list[str], key: str) -> DataFrame:
     """Pairs left_id < right_id of equal form and other code points within a group.
 
-    Only forms with at least two spellings are joined, spelling against spelling, so copies
-    of one spelling never meet each other.
+    The prints are written once, since texts are folded in Python. Forms with at least two
+    spellings are found by a pre-aggregated minimum and maximum; spellings are paired with
+    spellings, and only then with the ids that have them, so copies of one spelling never
+    meet each other.
     """
-    rows = prints.dropDuplicates([*group, key, "form_id", "code_id"])
-    varied = (
-        rows.groupBy(*group, "form_id").agg(F.min("code_id").alias("lo"), F.max("code_id").alias("hi")).where("lo <> hi").select(*group, "form_id")
-    )
-    rows = rows.join(varied, on=[*group, "form_id"], how="left_semi")
-    left = rows.select(*group, "form_id", F.col(key).alias("left_id"), F.col("code_id").alias("left_code"))
-    right = rows.select(*group, "form_id", F.col(key).alias("right_id"), F.col("code_id").alias("right_code"))
-    return (
-        left.join(right, on=[*group, "form_id"], how="inner")
-        .where("left_id < right_id and left_code <> right_code")
-        .select(*group, "left_id", "right_id")
-        .distinct()
-    )
-
-
-def _form_rows(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.RecordBatch]:
+    form = [*group, "form_id"]
+    rows = cut(prints.select(*form, "code_id", key))
+    varied = rows.groupBy(*form).agg(F.min("code_id").alias("lo"), F.max("code_id").alias("hi")).where("lo <> hi").select(*form)
+    rows = rows.join(varied, form, "left_semi").distinct()
+    spelled = rows.select(*form, "code_id").distinct()
+    two = spelled.withColumnRenamed("code_id", "a").join(spelled.withColumnRenamed("code_id", "b"), form).where("a < b")
+    left = rows.select(*form, F.col("code_id").alias("a"), F.col(key).alias("x"))
+    right = rows.select(*form, F.col("code_id").alias("b"), F.col(key).alias("y"))
+    pairs = two.join(left, [*form, "a"]).join(right, [*form, "b"]).where("x <> y")
+    return pairs.select(*group, F.least("x", "y").alias("left_id"), F.greatest("x", "y").alias("right_id")).distinct()
+
+
+def _form_rows(batches: Iterator[pa.RecordBatch], keys: list[str], classes: Classes) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = batch.column("__text").to_pylist()
-        fs = forms(texts)
+        fs = forms(texts, classes)
         yield pa.RecordBatch.from_arrays(
             [*(batch.column(k) for k in keys), pa.array(fs), pa.array([kinds(t, f) for t, f in zip(texts, fs, strict=True)])],
             names=[*keys, "form", "change"],
@@ -256,4 +366,5 @@ def consistent_text(df: DataFrame, column: str, keys: list[str]) -> DataFrame:
     """keys, the text's consistent form, and what kind of change it took."""
     slim = df.select(*[F.col(k) for k in keys], F.col(column).alias("__text")).where(F.col("__text").isNotNull())
     schema = ", ".join(f"`{k}` {t}" for k, t in slim.dtypes if k != "__text") + ", form string, change string"
-    return slim.mapInArrow(lambda it: _form_rows(it, keys), schema)
+    classes = unicode_classes(df.sparkSession)
+    return slim.mapInArrow(lambda it: _form_rows(it, keys, classes), schema)

@@ -16,6 +16,12 @@ from spoolweave.llm import lookalike as la
         ("a b", "a b", True),
         ("so​ft­ly", "softly", True),
         ("각", "각", True),
+        ("vе\u0301rifié", "vérifié", True),
+        ("No\u0451l", "Noël", True),
+        ("𝐇𝐞𝐥𝐥o 𝟐𝟎", "Hello 20", True),
+        ("cop oca a Россия он", "сор оса а Россия он", True),
+        ("\U0002f804字", "你字", True),
+        ("ещё всё", "ещe всe", False),
         ("cafe", "café", False),
         ("Take", "take", False),
         ("a  b", "a b", False),
@@ -32,10 +38,20 @@ def test_forms(a, b, same):
 def test_spelling():
     assert la.forms(["データ"]) == ["データ"] and la.forms(["夕方"]) == ["夕方"] and la.forms(["ロ"]) == ["ロ"]
     assert la.forms(["москва"]) == ["москва"]  # a word of one foreign script keeps it
+    for text in ("сор оса а Россия он", "Ещё раз: всё её. А он?", "Ναι, το ξέρω. Άρα ναι.", "Он сказал. The fair was over."):
+        assert la.forms([text]) == [text]  # words of either script stay with their sentence
+    assert la.forms(["cop oca a Россия он"]) == ["сор оса а Россия он"] and la.forms(["Тhe сор саmе in"]) == ["The cop came in"]
+    assert la.kinds("сор", "cop") == "whole" and la.kinds("ﾏｲｸ", la.forms(["ﾏｲｸ"])[0]) == "form" and la.kinds("窓ロ", la.forms(["窓ロ"])[0]) == "mixed"
     assert la.script_sets("moc") and la.spell_token("ab") == "ab"
     assert la.kinds("tеst", la.forms(["tеst"])[0]) == "mixed" and la.kinds("plain", "plain") == "none"
 
 
+def test_unicode_classes(spark):
+    classes = la.unicode_classes(spark)
+    assert len(classes) > 100 and all(chr(to).isascii() and chr(to).isalpha() for _, to in classes)
+    assert la.forms(["Ꭺ map"], classes) == ["A map"] and la.forms(["A map"], classes) == ["A map"]
+
+
 def test_pairs(spark):
     base = "There were 12 ways to copy the map."
     rows = [
