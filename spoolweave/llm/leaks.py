@@ -5,24 +5,29 @@ punctuation, spacing, invisible characters, stamps at line starts aside) and see
 of k-letter shingles. Items' shingles are ordered by their rarity in the corpus; a document
 that holds the required part of an item must share one of the item's rarest shingles (its
 prefix), so only those are looked up. Candidates pass a length bound and a positional bound
-(enough shared shingles inside one item-sized window), and each is then verified exactly by
-aligning item and window.
-
-The items are the small side of the join: their shingles are broadcast only if the item
-table's letters stay under a proven bound; beyond it the items are taken in blocks, each
-under the bound, and the results united. Documents are read twice (rarity, join), never
-shuffled; counts of item shingles are combined per task before they are added up.
-
-Defined cases: null or empty texts match nothing; items under MIN_ITEM letters are left
-out; the same item id given twice, or a document delivered again, gives one row; equal
-items each get their rows; extra columns are ignored.
+(enough shared seeds on neighbouring diagonals), and each is then verified exactly: the
+shared seeds are joined to runs of equal letters, and the best chain of runs in order, with
+small gaps, is found by dynamic programming.
+
+The corpus is read twice, for the rarities and for the join, however many items there are.
+Items of up to BLOCK_LETTERS letters in all, a proven bound, travel with the tasks; more
+items go through a shuffle: shingles of documents that a bitmap of fixed size lets through
+meet the items' shingles by key, and only documents with such shingles are moved. Both ways
+give the same rows.
+
+Items under WHOLE_BELOW letters must stand whole, since half of them tells nothing; others
+by the share held. Shingles are never longer than half of their item.
+
+Defined cases: null or empty texts match nothing, items without letters neither; documents
+and items without an id are left out; the same item id given twice, or a document delivered
+again, gives one row; equal items each get their rows; extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -33,17 +38,18 @@ from pyspark.sql import functions as F
 from spoolweave.functions import charmap as cm
 from spoolweave.llm import lexicon as lx
 from spoolweave.llm.lookalike import skeleton_table
+from spoolweave.session import cut
 
-#: Letters of a shingle: a letter of a syllabic or word-writing script tells more than one of an alphabet.
-SHINGLE = {"wide": 12, "narrow": 24}
-#: Shingles that align item and window in the verification.
+#: Letters of a shingle, by the letters that must be held: a letter of a word-writing script tells more than one of an alphabet.
+WIDE, NARROW = ((15, 12), (0, 6)), ((36, 24), (15, 12), (0, 6))
+#: Shingles that align item and document in the verification.
 SEED = 6
 HELD = 0.5
-MIN_ITEM = 30
+WHOLE_BELOW = 12
 #: Prefix hits asked for (the prefix is longer by as many shingles).
 PREFIX_HITS = 16
-#: Letters of items in one broadcast block (some 30 bytes of shingle tables each).
-BLOCK_LETTERS = 2_000_000
+#: Letters of items that travel with the tasks (some 100 bytes of tables each).
+BLOCK_LETTERS = 300_000
 STAMPS = re.compile(f"(?m)^[ \\t]*{lx.STAMP}[ \\t]*")
 FILTER_BITS = 20
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -76,20 +82,47 @@ def _both(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return out
 
 
-def shingles(letters: np.ndarray) -> dict[int, np.ndarray]:
-    """64-bit codes of the 6, 12 and 24 letters from each position, each from two halves."""
+def shingles(letters: np.ndarray, lengths: Iterable[int] = (SEED, 12, 24)) -> dict[int, np.ndarray]:
+    """64-bit codes of the letters from each position, by shingle length; long ones from two halves."""
     out: dict[int, np.ndarray] = {}
     with np.errstate(over="ignore"):
         one = letters.astype(np.uint64) * _A
         one ^= one >> np.uint64(29)
-        two = _both(one[:-1], one[1:])
-        three = _both(two[:-1], one[2:])
-        last = three
-        for k in (6, 12, 24):
-            h = k // 2
-            last = _both(last[:-h], last[h:]) if len(last) > h else np.zeros(0, np.uint64)
+        last, size = one, 1
+        for k in range(1, SEED + 1):
+            if k > 1:
+                last = _both(last[:-1], one[k - 1 :]) if len(one) >= k else np.zeros(0, np.uint64)
             out[k] = last
-    return out
+        size = SEED
+        while size < max(lengths, default=0):
+            last = _both(last[:-size], last[size:]) if len(last) > size else np.zeros(0, np.uint64)
+            size *= 2
+            out[size] = last
+    return {k: out[k] for k in {*lengths, SEED}}
+
+
+def shingle_length(letters: np.ndarray, held: float) -> int:
+    """Shingle length of an item: the longest that fits in what must be held of it."""
+    if len(letters) < SEED:
+        return len(letters)
+    need = needed(len(letters), held)
+    steps = NARROW if (letters < 0x2E80).mean() > 0.5 else WIDE
+    return next(k for least, k in steps if need >= least)
+
+
+def needed(n: int, held: float) -> int:
+    """Letters of an item of n letters that a document must hold in one passage."""
+    return n if n < WHOLE_BELOW else int(np.ceil(held * n))
+
+
+def required(n: int, k: int, held: float) -> int:
+    """Shingles of an item that a holding document shares at the least.
+
+    The needed letters stand in one passage, in which a change spoils as many shingles as a
+    shingle has letters; at most one change for 1.4 shingle lengths is allowed for.
+    """
+    passage = needed(n, held) - k + 1
+    return max(1, passage - int(k * np.ceil(passage / (1.4 * k))))
 
 
 class Items:
@@ -98,52 +131,39 @@ class Items:
     def __init__(self, rows: list[tuple[int, str]], held: float = HELD) -> None:
         rows = sorted(rows)
         letters, at = fold_texts([r[1] or "" for r in rows])
-        own = [(r[0], letters[a:b]) for r, a, b in zip(rows, at[:-1], at[1:], strict=True) if b - a >= MIN_ITEM]
+        own = [(r[0], letters[at[n] : at[n + 1]]) for n, r in enumerate(rows) if at[n + 1] > at[n]]
         self.ids = [i for i, _ in own]
         self.letters = [x for _, x in own]
         self.held = held
-        self.kind = ["narrow" if (x < 0x2E80).mean() > 0.5 else "wide" for x in self.letters]
-        self.grams = [shingles(x) for x in self.letters]
-        self.codes = {}
-        for kind, k in SHINGLE.items():
-            mine = [g[k] for g, t in zip(self.grams, self.kind, strict=True) if t == kind]
-            self.codes[kind] = np.unique(np.concatenate(mine)) if mine else np.zeros(0, np.uint64)
-        self.filters = {kind: bit_filter(c) for kind, c in self.codes.items()}
+        self.k = [shingle_length(x, held) for x in self.letters]
+        self.lengths = sorted(set(self.k))
+        self.grams = [shingles(x, (k,)) for x, k in zip(self.letters, self.k, strict=True)]
+        self.codes = {k: np.unique(np.concatenate([g[k] for g, own_k in zip(self.grams, self.k, strict=True) if own_k == k])) for k in self.lengths}
+        self.filters = {k: bit_filter(c) for k, c in self.codes.items()}
         self.seeds = []
         for g in self.grams:
             order = np.argsort(g[SEED], kind="stable")
             self.seeds.append((g[SEED][order], order))
 
-    def required(self, i: int) -> int:
-        """Shingles of item i that a holding document shares at the least.
-
-        Half the letters in one passage, in which a change spoils as many shingles as a
-        shingle has letters; at most one change for 1.4 shingle lengths is allowed for.
-        """
-        k = SHINGLE[self.kind[i]]
-        passage = int(np.ceil(self.held * len(self.letters[i]))) - k + 1
-        return max(1, passage - int(k * np.ceil(passage / (1.4 * k))))
-
-    def set_prefixes(self, rarity: dict[str, dict[int, int]]) -> None:
+    def set_prefixes(self, rarity: dict[int, dict[int, int]]) -> None:
         """Keep, per item, its rarest shingles up to the length at which a holder must hit them."""
-        owner: dict[str, dict[int, list[int]]] = {kind: {} for kind in SHINGLE}
-        self.least = []
-        for i, (g, kind) in enumerate(zip(self.grams, self.kind, strict=True)):
-            need = self.required(i)
-            ask = min(PREFIX_HITS, need)
-            self.least.append(ask)
-            known = rarity.get(kind, {})
-            distinct = sorted(set(g[SHINGLE[kind]].tolist()), key=lambda c: (known.get(c, 0), c))
-            for c in distinct[: max(1, len(distinct) - need + ask)]:
-                owner[kind].setdefault(c, []).append(i)
-        self.least = np.array(self.least, dtype=np.int64)
+        owner: dict[int, dict[int, list[int]]] = {k: {} for k in self.lengths}
+        least = []
+        for i, (g, k) in enumerate(zip(self.grams, self.k, strict=True)):
+            need = required(len(self.letters[i]), k, self.held)
+            least.append(min(PREFIX_HITS, need))
+            known = rarity.get(k, {})
+            distinct = sorted(set(g[k].tolist()), key=lambda c: (known.get(c, 0), c))
+            for c in distinct[: max(1, len(distinct) - need + least[-1])]:
+                owner[k].setdefault(c, []).append(i)
+        self.least = np.array(least, dtype=np.int64)
         self.prefix, self.owner_at, self.owner_of, self.prefix_filter = {}, {}, {}, {}
-        for kind, own in owner.items():
-            self.prefix[kind] = np.array(sorted(own), dtype=np.uint64)
-            lists = [own[int(c)] for c in self.prefix[kind]]
-            self.owner_at[kind] = np.concatenate(([0], np.cumsum([len(x) for x in lists]))).astype(np.int64)
-            self.owner_of[kind] = np.array([i for x in lists for i in x], dtype=np.int64)
-            self.prefix_filter[kind] = bit_filter(self.prefix[kind])
+        for k, own in owner.items():
+            self.prefix[k] = np.array(sorted(own), dtype=np.uint64)
+            lists = [own[int(c)] for c in self.prefix[k]]
+            self.owner_at[k] = np.concatenate(([0], np.cumsum([len(x) for x in lists]))).astype(np.int64)
+            self.owner_of[k] = np.array([i for x in lists for i in x], dtype=np.int64)
+            self.prefix_filter[k] = bit_filter(self.prefix[k])
 
 
 def bit_filter(codes: np.ndarray) -> np.ndarray:
@@ -167,19 +187,19 @@ def candidates(items: Items, grams: dict[int, np.ndarray], at: np.ndarray) -> np
     """(document, item) pairs with enough prefix hits, for all documents of a batch at once."""
     pairs = []
     m = max(len(items.ids), 1)
-    for kind, k in SHINGLE.items():
-        where, place = hits(grams[k], items.prefix[kind], items.prefix_filter[kind])
+    for k in items.lengths:
+        where, place = hits(grams[k], items.prefix[k], items.prefix_filter[k])
         if not len(where):
             continue
         doc = np.searchsorted(at, where, side="right") - 1
         inside = where + k <= at[doc + 1]
         doc, place = doc[inside], place[inside]
         # a shingle said twice in a document counts once
-        once = np.unique(doc.astype(np.int64) * len(items.prefix[kind]) + place)
-        doc, place = once // len(items.prefix[kind]), once % len(items.prefix[kind])
-        lo, hi = items.owner_at[kind][place], items.owner_at[kind][place + 1]
+        once = np.unique(doc.astype(np.int64) * len(items.prefix[k]) + place)
+        doc, place = once // len(items.prefix[k]), once % len(items.prefix[k])
+        lo, hi = items.owner_at[k][place], items.owner_at[k][place + 1]
         n = hi - lo
-        owner = items.owner_of[kind][np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
+        owner = items.owner_of[k][np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
         pairs.append(np.repeat(doc, n) * m + owner)
     if not pairs:
         return np.zeros((0, 2), np.int64)
@@ -188,54 +208,48 @@ def candidates(items: Items, grams: dict[int, np.ndarray], at: np.ndarray) -> np
     return np.stack((found // m, found % m), axis=1)
 
 
-def held_letters(item: np.ndarray, doc: np.ndarray, pairs: tuple[np.ndarray, np.ndarray]) -> int:
-    """Letters of the item in one passage of the document, small changes inside included.
-
-    pairs are item and document positions of shared shingles. They are grouped by diagonal
-    into nearly straight chains; a chain may drift by a few letters for each change. The
-    passage is the stretch of the item from the first to the last shared shingle in which
-    no gap is longer than GAP letters, counted without the letters that differ.
-    """
-    ip, dp = pairs
-    order = np.lexsort((ip, dp))
-    ip, dp = ip[order], dp[order]
-    best = 0
-    n = len(ip)
-    if n == 0:
-        return 0
-    # dynamic chaining over shared shingles in document order; the chains are short
-    chains: list[list[int]] = []  # [last item pos, last doc pos, covered letters]
-    for a, b in zip(ip.tolist(), dp.tolist(), strict=True):
-        take = None
-        for c in chains:
-            da, db = a - c[0], b - c[1]
-            if 0 < da <= GAP + SEED and 0 < db <= GAP + SEED and abs(da - db) <= DRIFT and (take is None or c[2] > take[2]):
-                take = c
-        if take is None:
-            chains.append([a, b, SEED])
-            best = max(best, SEED)
-        else:
-            da, db = a - take[0], b - take[1]
-            if da == db and da > SEED:
-                # a gap on the same diagonal: equal letters in it count as well
-                gap_item = item[take[0] + SEED : a]
-                gap_doc = doc[take[1] + SEED : b]
-                take[2] += int((gap_item == gap_doc).sum()) + SEED
-            else:
-                take[2] += min(da, SEED)
-            take[0], take[1] = a, b
-            best = max(best, take[2])
-            if len(chains) > 32:
-                chains = [c for c in chains if b - c[1] <= GAP + SEED]
-    return best
-
-
 GAP = 30
 DRIFT = 16
 #: Width of a diagonal band; a passage lies in two neighbouring ones.
 BAND = 48
 
 
+def equal_runs(ip: np.ndarray, dp: np.ndarray) -> list[tuple[int, int, int]]:
+    """Runs (item start, document start, letters) of the shared seeds, in document order."""
+    order = np.lexsort((ip, dp - ip))
+    ip, dp = ip[order], dp[order]
+    new = np.concatenate(([True], (ip[1:] - ip[:-1] != dp[1:] - dp[:-1]) | (ip[1:] - ip[:-1] > SEED) | (dp[1:] - ip[1:] != dp[:-1] - ip[:-1])))
+    first = np.flatnonzero(new)
+    last = np.concatenate((first[1:], [len(ip)])) - 1
+    return sorted(zip(ip[first].tolist(), dp[first].tolist(), (ip[last] - ip[first] + SEED).tolist(), strict=True), key=lambda r: (r[1], r[0]))
+
+
+def held_letters(item: np.ndarray, doc: np.ndarray, runs: list[tuple[int, int, int]]) -> int:
+    """Most letters of the item that one passage of the document holds.
+
+    A passage is a chain of runs, in order in both texts, with gaps of at most GAP letters
+    that drift by at most DRIFT; of a gap as long on both sides its equal letters count as
+    well. The best chain is found by dynamic programming over the runs.
+    """
+    best = [0] * len(runs)
+    for j, (a, b, n) in enumerate(runs):
+        best[j] = n
+        for i in range(j - 1, -1, -1):
+            x, y, m = runs[i]
+            if b - y > len(item) + GAP + DRIFT:
+                break  # beyond an item's length no chain goes on
+            if not (a > x and b > y):
+                continue
+            # what the runs share counts once
+            over = max(x + m - a, y + m - b, 0)
+            da, db = a + over - x - m, b + over - y - m
+            if over >= n or da > GAP or db > GAP or abs(da - db) > DRIFT:
+                continue
+            same = int((item[x + m : a + over] == doc[y + m : b + over]).sum()) if da == db and da else 0
+            best[j] = max(best[j], best[i] + same + n - over)
+    return max(best, default=0)
+
+
 def _positions_of(items: Items, i: int, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(item positions, document positions) of seeds the item and the document share."""
     codes, order = items.seeds[i]
@@ -248,18 +262,20 @@ def _positions_of(items: Items, i: int, grams: np.ndarray) -> tuple[np.ndarray,
 
 
 def verify(items: Items, i: int, letters: np.ndarray, seeds: np.ndarray) -> int:
-    """Letters of item i that the document holds in one passage, or 0 if under the needed share."""
+    """Letters of item i that the document holds in one passage, or 0 if under what is needed."""
     n = len(items.letters[i])
-    need = int(np.ceil(items.held * n))
-    if len(letters) < need - need // 8:  # length bound
+    need = needed(n, items.held)
+    if n < SEED:
+        return n  # the shingle is the item
+    if len(letters) < need - need // 8:  # length bound: gaps may hold letters of their own only
         return 0
     ip, dp = _positions_of(items, i, seeds)
-    # a change spoils at most SEED seeds, and changes are at least 1.4 shingles apart
-    least = need // 2
+    # changes are few: a third of the seeds of what is needed remain
+    least = max(1, (need - SEED + 1) // 3)
     if len(ip) < least or len(np.unique(ip)) < least:
         return 0
     # positional bound: enough seeds on neighbouring diagonals, as one passage with few changes has
-    diagonal = (dp - ip + len(items.letters[i])) // BAND
+    diagonal = (dp - ip + n) // BAND
     count = np.bincount(diagonal)
     near = count + np.concatenate((count[1:], [0]))
     if near.max() < least:
@@ -269,30 +285,29 @@ def verify(items: Items, i: int, letters: np.ndarray, seeds: np.ndarray) -> int:
     for shift in (-1, 0, 1, 2):
         inside[np.maximum(keep + shift, 0)] = True
     inside = inside[diagonal]
-    ip, dp = ip[inside], dp[inside]
-    held = held_letters(items.letters[i], letters, (ip, dp))
-    return held if held >= need - max(2, need // 25) else 0
+    held = held_letters(items.letters[i], letters, equal_runs(ip[inside], dp[inside]))
+    return held if held >= need else 0
 
 
 def _count(batches: Iterator[pa.RecordBatch], items: Items) -> Iterator[pa.RecordBatch]:
-    total = {kind: np.zeros(len(c), np.int64) for kind, c in items.codes.items()}
+    total = {k: np.zeros(len(c), np.int64) for k, c in items.codes.items()}
     for batch in batches:
         texts = batch.column("__text").to_pylist()
         for a, b in cm.groups(texts):
             letters, at = fold_texts(texts[a:b])
-            grams = shingles(letters)
-            for kind, k in SHINGLE.items():
-                size = len(items.codes[kind])
-                where, place = hits(grams[k], items.codes[kind], items.filters[kind])
+            grams = shingles(letters, items.lengths)
+            for k in items.lengths:
+                size = len(items.codes[k])
+                where, place = hits(grams[k], items.codes[k], items.filters[k])
                 if not len(where):
                     continue
                 doc = np.searchsorted(at, where, side="right") - 1
                 inside = where + k <= at[doc + 1]
                 once = np.unique(doc[inside].astype(np.int64) * size + place[inside])
-                total[kind] += np.bincount(once % size, minlength=size)
-    for kind, counts in total.items():
+                total[k] += np.bincount(once % size, minlength=size)
+    for k, counts in total.items():
         some = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array([kind] * len(some), pa.string()), pa.array(some, pa.int64()), pa.array(counts[some], pa.int64())], names=["kind", "place", "docs"])
+        yield pa.RecordBatch.from_arrays([pa.array([k] * len(some), pa.int32()), pa.array(some, pa.int64()), pa.array(counts[some], pa.int64())], names=["k", "place", "docs"])
 
 
 def _join(batches: Iterator[pa.RecordBatch], items: Items, key: str) -> Iterator[pa.RecordBatch]:
@@ -301,7 +316,7 @@ def _join(batches: Iterator[pa.RecordBatch], items: Items, key: str) -> Iterator
         rows, found, held, size = [], [], [], []
         for a, b in cm.groups(texts):
             letters, at = fold_texts(texts[a:b])
-            grams = shingles(letters)
+            grams = shingles(letters, items.lengths)
             for d, i in candidates(items, grams, at).tolist():
                 lo, hi = int(at[d]), int(at[d + 1])
                 h = verify(items, i, letters[lo:hi], grams[SEED][lo : max(hi - SEED + 1, lo)])
@@ -316,35 +331,157 @@ def _join(batches: Iterator[pa.RecordBatch], items: Items, key: str) -> Iterator
         )
 
 
-def item_blocks(items: DataFrame, most: int = BLOCK_LETTERS) -> Iterator[list[tuple[int, str]]]:
-    """The items in blocks of a bounded number of letters; only one block is held at a time."""
-    block, size = [], 0
-    for r in items.where("item_id is not null and length(text) > 0").select("item_id", "text").distinct().orderBy("item_id", "text").toLocalIterator():
-        block.append((r[0], r[1]))
-        size += len(r[1])
-        if size >= most:
-            yield block
-            block, size = [], 0
-    if block:
-        yield block
+def _schema(docs: DataFrame, key: str) -> str:
+    return f"`{key}` {dict(docs.dtypes)[key]}, item_id bigint, held int, letters int"
+
+
+def _by_closure(docs: DataFrame, rows: list[tuple[int, str]], key: str, held: float) -> DataFrame:
+    """Few items: their tables travel with the tasks, documents stay where they are."""
+    block = Items(rows, held)
+    if not block.ids:
+        return docs.sparkSession.createDataFrame([], _schema(docs, key))
+    counts = docs.select("__text").mapInArrow(lambda it: _count(it, block), "k int, place bigint, docs bigint").groupBy("k", "place").agg(F.sum("docs").alias("docs"))
+    rarity: dict[int, dict[int, int]] = {k: {} for k in block.lengths}
+    for k, place, n in counts.collect():  # as many rows as the block has shingles, at most
+        rarity[k][int(block.codes[k][place])] = n
+    block.set_prefixes(rarity)
+    return docs.mapInArrow(lambda it: _join(it, block, key), _schema(docs, key))
+
+
+# --- many items: by shuffle ---------------------------------------------------------------
+
+#: Bits of the bitmap that decides which shingles of documents are moved: 8 MB, whatever the items.
+SLOT_BITS = 26
+
+
+def _own_code(codes: np.ndarray, k: int) -> np.ndarray:
+    """Codes of different shingle lengths kept apart."""
+    with np.errstate(over="ignore"):
+        return (codes ^ np.uint64(k) * _B) * _A
+
+
+def _item_shingles(batches: Iterator[pa.RecordBatch], held: float) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        ids, texts = batch.column("item_id").to_pylist(), batch.column("text").to_pylist()
+        for a, b in cm.groups(texts):
+            letters, at = fold_texts(texts[a:b])
+            for i in range(b - a):
+                own = letters[at[i] : at[i + 1]]
+                if not len(own):
+                    continue
+                k = shingle_length(own, held)
+                codes = np.unique(_own_code(shingles(own, (k,))[k], k)).view(np.int64)
+                need = required(len(own), k, held)
+                ask = min(PREFIX_HITS, need)
+                n = len(codes)
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "item_id": pa.array([ids[a + i]] * n, pa.int64()),
+                        "k": pa.array([k] * n, pa.int32()),
+                        "code": pa.array(codes),
+                        "ask": pa.array([ask] * n, pa.int32()),
+                        "prefix": pa.array([max(1, n - need + ask)] * n, pa.int32()),
+                    }
+                )
+
+
+def _bitmap(codes: DataFrame) -> np.ndarray:
+    """The slots that some code falls into; at most 2 ** SLOT_BITS bits come to the driver."""
+    slot = F.shiftrightunsigned("code", 64 - SLOT_BITS) + 1  # the bitmap functions count from 1
+    rows = codes.select(slot.alias("s")).groupBy(F.bitmap_bucket_number("s").alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("s")).alias("m")).collect()
+    table = np.zeros((1 << SLOT_BITS) + 32768, bool)
+    for bucket, bits in rows:
+        start = (bucket - 1) * 32768
+        table[start : start + 32768] = np.unpackbits(np.frombuffer(bytes(bits), np.uint8), bitorder="little")
+    return np.packbits(table)
+
+
+def _passing(grams: np.ndarray, k: int, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Positions and codes of the shingles whose slot is set."""
+    codes = _own_code(grams, k)
+    slot = (codes >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+    at = np.flatnonzero((bits[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1)
+    return at, codes[at].view(np.int64)
+
+
+def _document_shingles(texts: list[str], lengths: list[int], bits: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(document, its distinct shingles that pass the bitmap), documents without any left out."""
+    for a, b in cm.groups(texts):
+        letters, at = fold_texts(texts[a:b])
+        docs, codes = [], []
+        grams = shingles(letters, lengths)
+        for k in lengths:
+            where, code = _passing(grams[k], k, bits)
+            doc = np.searchsorted(at, where, side="right") - 1
+            inside = where + k <= at[doc + 1]
+            docs.append(doc[inside])
+            codes.append(code[inside])
+        doc, code = np.concatenate(docs), np.concatenate(codes)
+        order = np.argsort(doc, kind="stable")
+        doc, code = doc[order], code[order]
+        some, first = np.unique(doc, return_index=True)
+        for d, x, y in zip(some.tolist(), first, np.append(first[1:], len(doc)), strict=False):
+            yield a + d, np.unique(code[x:y])
+
+
+def _by_shuffle(docs: DataFrame, items: DataFrame, key: str, held: float) -> DataFrame:
+    """Many items: shingles meet by key. Documents are read twice and moved only if they hold shingles of a prefix."""
+    own = cut(items.mapInArrow(lambda it: _item_shingles(it, held), "item_id bigint, k int, code bigint, ask int, prefix int"))
+    lengths = sorted(r[0] for r in own.select("k").distinct().collect())  # at most eight
+    every = _bitmap(own)
+
+    def seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [c for _, c in _document_shingles(batch.column("__text").to_pylist(), lengths, every)]
+            codes, n = np.unique(np.concatenate(found), return_counts=True) if found else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(codes, pa.int64()), pa.array(n, pa.int64())], names=["code", "docs"])
+
+    counts = docs.select("__text").mapInArrow(seen, "code bigint, docs bigint").groupBy("code").agg(F.sum("docs").alias("docs"))
+    ranked = own.join(counts, "code", "left").groupBy("item_id", "ask", "prefix").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("docs", F.lit(0)).alias("docs"), "code"))).alias("c"))
+    prefix = cut(ranked.select("item_id", "ask", F.explode(F.expr("slice(c, 1, prefix)")).alias("c")).select("item_id", "ask", F.col("c.code").alias("code")))
+    rare = _bitmap(prefix)
+
+    def hit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = list(_document_shingles(batch.column("__text").to_pylist(), lengths, rare))
+            taken = pa.array([d for d, _ in found], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(key).take(taken), batch.column("__text").take(taken), pa.array([c for _, c in found], pa.list_(pa.int64()))], names=[key, "__text", "codes"])
+
+    held_by = cut(docs.mapInArrow(hit, f"`{key}` {dict(docs.dtypes)[key]}, __text string, codes array<bigint>").dropDuplicates([key]))
+    pairs = held_by.select(key, F.explode("codes").alias("code")).join(prefix, "code").groupBy(key, "item_id").agg(F.count("*").alias("n"), F.min("ask").alias("ask")).where("n >= ask").select(key, "item_id")
+    full = pairs.join(held_by.select(key, "__text"), key).join(items.withColumnRenamed("text", "__item"), "item_id")
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, texts = batch.column("item_id").to_pylist(), batch.column("__text").to_pylist()
+            known = sorted(set(zip(ids, batch.column("__item").to_pylist(), strict=True)))
+            # an id may stand for several texts, so items are told apart by their number here
+            block = Items([(n, t) for n, (_, t) in enumerate(known)], held)
+            number = {pair: n for n, pair in enumerate(known)}
+            place = {n: i for i, n in enumerate(block.ids)}
+            out = []
+            for r, (i, text, item) in enumerate(zip(ids, texts, batch.column("__item").to_pylist(), strict=True)):
+                letters, _ = fold_texts([text])
+                x = place[number[(i, item)]]
+                h = verify(block, x, letters, shingles(letters, ())[SEED])
+                if h:
+                    out.append((r, h, len(block.letters[x])))
+            taken = pa.array([o[0] for o in out], pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(key).take(taken), batch.column("item_id").take(taken), pa.array([o[1] for o in out], pa.int32()), pa.array([o[2] for o in out], pa.int32())],
+                names=[key, "item_id", "held", "letters"],
+            )
+
+    return full.select(key, "item_id", "__text", "__item").mapInArrow(check, _schema(docs, key))
 
 
-def leaked_items(documents: DataFrame, items: DataFrame, key: str = "doc_id", held: float = HELD) -> DataFrame:
+def leaked_items(documents: DataFrame, items: DataFrame, key: str = "doc_id", held: float = HELD, block_letters: int = BLOCK_LETTERS) -> DataFrame:
     """One row per document and item it holds: letters held in one passage, letters of the item."""
-    spark = documents.sparkSession
-    docs = documents.select(F.col(key), F.col("text").alias("__text")).where(F.length("__text") > 0)
-    kind = dict(docs.dtypes)[key]
-    schema = f"`{key}` {kind}, item_id bigint, held int, letters int"
-    out = spark.createDataFrame([], schema)
-    first = True
-    for rows in item_blocks(items):
-        block = Items(rows, held)
-        counts = docs.select("__text").mapInArrow(lambda it, block=block: _count(it, block), "kind string, place bigint, docs bigint").groupBy("kind", "place").agg(F.sum("docs").alias("docs"))
-        rarity: dict[str, dict[int, int]] = {kind: {} for kind in SHINGLE}
-        for kind, place, n in counts.collect():  # as many rows as the block has shingles, at most
-            rarity[kind][int(block.codes[kind][place])] = n
-        block.set_prefixes(rarity)
-        part = docs.mapInArrow(lambda it, block=block: _join(it, block, key), schema)
-        out = part if first else out.unionByName(part)
-        first = False
-    return out.groupBy(key, "item_id").agg(F.max("held").alias("held"), F.max("letters").alias("letters"))
+    docs = documents.select(F.col(key), F.col("text").alias("__text")).where((F.length("__text") > 0) & F.col(key).isNotNull())
+    known = items.where("item_id is not null and length(text) > 0").select(F.col("item_id").cast("bigint").alias("item_id"), "text").distinct()
+    size = known.agg(F.coalesce(F.sum(F.length("text") + 16), F.lit(0))).first()[0]
+    if size <= block_letters:
+        found = _by_closure(docs, [(r[0], r[1]) for r in known.collect()], key, held)
+    else:
+        found = _by_shuffle(docs, known, key, held)
+    return found.groupBy(key, "item_id").agg(F.max("held").alias("held"), F.max("letters").alias("letters"))

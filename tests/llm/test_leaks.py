@@ -59,12 +59,46 @@ def test_leaks(spark, held):
     assert leaks.leaked_items(df, it.limit(0)).count() == 0 and leaks.leaked_items(df.limit(0), it).count() == 0
 
 
-def test_blocks_of_items_give_the_same(spark, monkeypatch):
+def test_many_items_give_the_same(spark):
+    """The way by shuffle and the way by closure find the same rows."""
     rng = random.Random(6)
-    items = [(i, words(rng, 30)) for i in range(5)]
-    df = spark.createDataFrame([(i, t + " end") for i, t in items], "doc_id long, text string")
+    items = [(i, words(rng, rng.choice((1, 2, 4, 30)))) for i in range(12)] + [(100 + i, wide(rng, rng.choice((3, 8, 20, 90)))) for i in range(8)] + [(3, words(rng, 30)), (200, "..."), (201, None)]
+    docs = [(d, case(KINDS[d % 8], rng, items[d % 20][1])[0]) for d in range(80)] + [(5, None), (None, items[0][1])]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
     it = spark.createDataFrame(items, "item_id long, text string")
-    blocks = list(leaks.item_blocks(it, most=200))
-    assert len(blocks) > 1 and sum(map(len, blocks)) == 5
-    monkeypatch.setattr(leaks.item_blocks, "__defaults__", (200,))
-    assert {tuple(r) for r in leaks.leaked_items(df, it).select("doc_id", "item_id").collect()} == {(i, i) for i, _ in items}
+    few, many = ({tuple(r) for r in leaks.leaked_items(df, it, block_letters=n).collect()} for n in (1_000_000, 100))
+    assert few == many and len(few) > 20
+
+
+def test_short_items(spark):
+    docs = [(1, "They asked: the capital is PARIS, France? Yes."), (2, "The capital is unknown."), (3, "capital: Paris!"), (4, "東京都。"), (5, "東の京")]
+    items = [(1, "The capital is Paris, France"), (2, "Paris"), (3, "東京"), (4, "unknown cap"), (5, "!")]
+    df, it = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = {tuple(r)[:2] for r in leaks.leaked_items(df, it).collect()}
+    # half of 23 letters are 12: "thecapitalis"
+    assert got == {(1, 1), (2, 1), (1, 2), (3, 2), (4, 3)} | ({(5, 3)} if "東京" in "東の京" else set())
+
+
+def test_best_chain_equals_brute_force():
+    """Against every chain of runs, tried one by one."""
+    rng = random.Random(8)
+
+    def brute(item, doc, runs):
+        def grow(last, total):
+            best = total
+            for a, b, n in runs:
+                x, y, m = last
+                over = max(x + m - a, y + m - b, 0)
+                da, db = a + over - x - m, b + over - y - m
+                if a > x and b > y and over < n and da <= leaks.GAP and db <= leaks.GAP and abs(da - db) <= leaks.DRIFT:
+                    same = sum(item[x + m + t] == doc[y + m + t] for t in range(da)) if da == db else 0
+                    best = max(best, grow((a, b, n), total + same + n - over))
+            return best
+
+        return max((grow(r, r[2]) for r in runs), default=0)
+
+    for _ in range(60):
+        item = leaks.np.array([rng.randrange(3) for _ in range(60)])
+        doc = leaks.np.array([rng.randrange(3) for _ in range(90)])
+        runs = sorted({(rng.randrange(40), rng.randrange(60), rng.randrange(6, 15)) for _ in range(6)}, key=lambda r: (r[1], r[0]))
+        assert leaks.held_letters(item, doc, runs) == brute(item, doc, runs)
