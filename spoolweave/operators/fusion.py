@@ -209,7 +209,7 @@ def cleaned(df: DataFrame, hinted: DataFrame, width: float = BLOCK_SECONDS) -> D
     slim = slim.join(hinted.select("episode_id", "block_id", F.lit(True).alias("hinted")).distinct(), ["episode_id", "block_id"], "left").fillna(False, ["hinted"])
     order = ["start_sec", "block_id"]
     slim = od.carry_last(od.with_blocks(slim, "start_sec", width), ["episode_id"], order, F.col("ranked_text"), "next_text", ahead=True)
-    return od.forgetful_fold(slim, ["episode_id"], order, _cleanup, CLEANED, "struct<final:string,chosen:string>")
+    return od.forgetful_fold(slim, ["episode_id"], order, _cleanup, CLEANED, "struct<final:string,chosen:string>", width)
 
 
 def final_blocks(

@@ -8,6 +8,7 @@ local, and one summary row a block carries what the next block needs.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 from typing import Any
 
 import pandas as pd
@@ -25,40 +26,71 @@ def with_blocks(df: DataFrame, order: str | Column, width: float) -> DataFrame:
     return df.withColumn(BLOCK, F.floor(c / width).cast("bigint"))
 
 
-def row_numbers(df: DataFrame, keys: list[str], order: list[str], name: str) -> DataFrame:
-    """1-based row number by group, for a frame with blocks: local numbers plus a scan of block counts."""
+def with_edges(df: DataFrame, keys: list[str], summary: dict[str, Column], scans: dict[str, Callable[[Any], Column]]) -> DataFrame:
+    """Rows with what the other blocks of their group say: one aggregate a block, all scans over it, one join.
+
+    ``summary`` holds aggregates by name; each scan is a function of the window over the
+    blocks of a group in order, and sees the aggregates as columns.
+    """
+    across = Window.partitionBy(*keys).orderBy(BLOCK)
+    edges = df.groupBy(*keys, BLOCK).agg(*[c.alias(n) for n, c in summary.items()])
+    edges = edges.select(*keys, BLOCK, *[f(across).alias(n) for n, f in scans.items()])
+    return df.join(edges, [*keys, BLOCK])
+
+
+def neighbours(df: DataFrame, keys: list[str], order: list[str], before: dict[str, Column] | None = None, after: dict[str, Column] | None = None, number: str | None = None) -> DataFrame:
+    """Values of the row before and of the row after in the group, and the 1-based row number, across blocks, all in one go.
+
+    Local windows inside a block; first row, last row and count of each block for the rest.
+    """
+    before, after = before or {}, after or {}
     local = Window.partitionBy(*keys, BLOCK).orderBy(*order)
-    df = df.withColumn("__local", F.row_number().over(local))
-    sizes = df.groupBy(*keys, BLOCK).agg(F.max("__local").alias("__n"))
-    before = Window.partitionBy(*keys).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    sizes = sizes.select(*keys, BLOCK, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
-    return df.join(sizes, [*keys, BLOCK]).withColumn(name, (F.col("__before") + F.col("__local")).cast("bigint")).drop("__before", "__local")
+    place = F.struct(*order)
+    df = df.withColumn("__back", F.struct(F.lit(True).alias("__"), *[c.alias(n) for n, c in before.items()])).withColumn("__on", F.struct(F.lit(True).alias("__"), *[c.alias(n) for n, c in after.items()]))
+    summary = {"__last": F.max_by("__back", place), "__first": F.min_by("__on", place), "__n": F.count("*")}
+    scans = {
+        "__far_back": lambda w: F.lag("__last").over(w),
+        "__far_on": lambda w: F.lead("__first").over(w),
+        "__before": lambda w: F.coalesce(F.sum("__n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
+    }
+    df = df.withColumn("__near_back", F.lag("__back").over(local)).withColumn("__near_on", F.lead("__on").over(local)).withColumn("__local", F.row_number().over(local))
+    df = with_edges(df, keys, summary, scans)
+    back, on = F.coalesce("__near_back", "__far_back"), F.coalesce("__near_on", "__far_on")
+    out = {n: back[n] for n in before} | {n: on[n] for n in after}
+    if number:
+        out[number] = (F.col("__before") + F.col("__local")).cast("bigint")
+    return df.withColumns(out).drop("__back", "__on", "__near_back", "__near_on", "__far_back", "__far_on", "__before", "__local")
+
+
+def row_numbers(df: DataFrame, keys: list[str], order: list[str], name: str) -> DataFrame:
+    """1-based row number by group, for a frame with blocks."""
+    return neighbours(df, keys, order, number=name)
 
 
 def carry_last(df: DataFrame, keys: list[str], order: list[str], value: Column, name: str, ahead: bool = False) -> DataFrame:
     """The value of the row before (after, with ``ahead``) in the group, across blocks."""
-    local = Window.partitionBy(*keys, BLOCK).orderBy(*order)
-    df = df.withColumn("__v", F.struct(value.alias("v")))
-    step = F.lead("__v").over(local) if ahead else F.lag("__v").over(local)
-    df = df.withColumn("__near", step)
-    place = F.struct(*order)
-    edge = df.groupBy(*keys, BLOCK).agg((F.min_by if ahead else F.max_by)("__v", place).alias("__edge"))
-    across = Window.partitionBy(*keys).orderBy(BLOCK)
-    edge = edge.select(*keys, BLOCK, (F.lead("__edge").over(across) if ahead else F.lag("__edge").over(across)).alias("__far"))
-    return df.join(edge, [*keys, BLOCK]).withColumn(name, F.coalesce("__near", "__far")["v"]).drop("__v", "__near", "__far")
+    return neighbours(df, keys, order, **{"after" if ahead else "before": {name: value}})
 
 
 Fold = Callable[[pd.DataFrame, Any], "tuple[pd.DataFrame, Any]"]
 
 
-def forgetful_fold(df: DataFrame, keys: list[str], order: list[str], fold: Fold, out: str, state: str) -> DataFrame:
+#: Share of a block before it that a fold runs through to guess the state at its start.
+WARM_UP = 0.25
+#: Rounds of corrections after which the result is written anew, so that its plan stays small.
+ROUNDS_A_WRITE = 8
+
+
+def forgetful_fold(df: DataFrame, keys: list[str], order: list[str], fold: Fold, out: str, state: str, width: float | None = None) -> DataFrame:
     """A left fold over each group in order, run block by block.
 
     ``fold(rows, state)`` takes a block's sorted rows and the state before them (None at the
-    start) and returns its output rows and the state after. First every block runs from
-    None; then each block whose incoming state proved different runs again, until no state
-    changes. State that is soon forgotten, as that of the transcript folds, settles after
-    the second round; the result is that of the sequential fold in any case.
+    start) and returns its output rows and the state after. State that is soon forgotten, as
+    that of the transcript folds, is guessed right by running through the rows just before a
+    block (where ``width``, the blocks' width in the first order column, is given). Then each
+    block whose incoming state proved different runs again, until no state differs: the
+    result is that of the sequential fold in any case. All blocks run once, and are written
+    once; only corrected ones run and are written again.
 
     ``out`` is the schema of the output rows, ``state`` the type of the state. The frame
     needs blocks (with_blocks).
@@ -70,25 +102,37 @@ def forgetful_fold(df: DataFrame, keys: list[str], order: list[str], fold: Fold,
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(order, kind="stable")
-        first = pdf.iloc[0]
-        before = first["__in"]
+        own = pdf["__own"].to_numpy()
+        if not own.any():
+            return pd.DataFrame(columns=[*keys, BLOCK, "__in", "__after", "__rows"])
+        before = pdf["__in"].iloc[-1]
         before = None if before is None or (not isinstance(before, (list, dict, tuple)) and pd.isna(before)) else before
-        rows, after = fold(pdf, before)
+        if not own.all():
+            before = fold(pdf[~own], None)[1]
+        first = pdf[own].iloc[0]
+        rows, after = fold(pdf[own], before)
         return pd.DataFrame([{**{k: first[k] for k in keys}, BLOCK: first[BLOCK], "__in": before, "__after": after, "__rows": rows[names].to_dict("records")}])
 
-    source = cut(df)
-    done = cut(source.withColumn("__in", F.lit(None).cast(state)).groupBy(*keys, BLOCK).applyInPandas(run, result_schema))
+    rows = df.withColumn("__in", F.lit(None).cast(state))
+    if width is None:
+        warm = rows.withColumn("__for", F.col(BLOCK))
+    else:
+        late = F.col(order[0]) / width - F.col(BLOCK) >= 1 - WARM_UP
+        warm = rows.withColumn("__for", F.explode(F.when(late, F.array(F.col(BLOCK), F.col(BLOCK) + 1)).otherwise(F.array(BLOCK))))
+    warm = warm.withColumn("__own", F.col("__for") == F.col(BLOCK))
+    parts = [cut(warm.groupBy(*keys, "__for").applyInPandas(run, result_schema))]
     across = Window.partitionBy(*keys).orderBy(BLOCK)
     # each round settles at least the first stale block of a group, so as many rounds as blocks are enough
     while True:
+        done = reduce(DataFrame.unionByName, parts)
         incoming = done.select(*keys, BLOCK, "__in", F.lag("__after").over(across).alias("__new"))
-        # read from the written rows of the round before, so cheap enough to be read thrice
-        stale = incoming.where(~F.col("__in").eqNullSafe(F.col("__new"))).select(*keys, BLOCK, F.col("__new").alias("__in"))
+        stale = cut(incoming.where(~F.col("__in").eqNullSafe(F.col("__new"))).select(*keys, BLOCK, F.col("__new").alias("__in")))
         if stale.isEmpty():
-            break
-        again = source.join(stale, [*keys, BLOCK]).groupBy(*keys, BLOCK).applyInPandas(run, result_schema)
-        done = cut(done.join(stale.select(*keys, BLOCK), [*keys, BLOCK], "left_anti").unionByName(again))
-    return done.select(*keys, F.inline("__rows"))
+            return done.select(*keys, F.inline("__rows"))
+        again = df.join(stale, [*keys, BLOCK]).withColumn("__own", F.lit(True)).groupBy(*keys, BLOCK).applyInPandas(run, result_schema)
+        parts = [p.join(stale.select(*keys, BLOCK), [*keys, BLOCK], "left_anti") for p in parts] + [cut(again)]
+        if len(parts) > ROUNDS_A_WRITE:
+            parts = [cut(reduce(DataFrame.unionByName, parts))]
 
 
 def _split(schema: str) -> list[str]:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from typing import Any
 
 import pandas as pd
@@ -44,8 +45,7 @@ def sentence_chunks(df: DataFrame, column: str, keys: list[str], terminators: st
     growing array. Null and empty texts give no rows.
     """
     cls = "".join("\\" + t if t in "\\]^-[" else t for t in terminators)
-    ends = F.regexp_replace(F.col(column), f"([{cls}])", "$1\u0000")
-    slim = df.select(*keys, F.split(ends, "\u0000").alias("__parts"))
+    slim = df.select(*keys, F.regexp_extract_all(F.col(column), F.lit(f"([^{cls}]*[{cls}]|[^{cls}]+)"), 1).alias("__parts"))
     sizes = F.transform("__parts", lambda p: F.length(p))
     slim = slim.withColumn("__ends", _running(sizes))
     rows = slim.select(*keys, F.posexplode(F.arrays_zip("__parts", "__ends"))).withColumn("text", F.col("col.__parts")).withColumn("char_end", F.col("col.__ends"))
@@ -250,7 +250,7 @@ def merge_blocks(
     ).dropDuplicates(["episode_id", "sentence_id"])
     timed = od.with_blocks(ids, "start_sec", width)
     heads = od.forgetful_fold(
-        timed, ["episode_id"], ["start_sec", "sentence_id"], lambda r, s: _group(r, s, least, most, min_seconds, max_seconds), "sentence_id string, head string", OPEN
+        timed, ["episode_id"], ["start_sec", "sentence_id"], lambda r, s: _group(r, s, least, most, min_seconds, max_seconds), "sentence_id string, head string", OPEN, width
     )
     members = units.dropDuplicates(["episode_id", "sentence_id"]).join(heads, ["episode_id", "sentence_id"])
     cols = F.struct("start_sec", "sentence_id", F.coalesce("end_sec", "start_sec").alias("end_sec"), "text", "char_start", "char_end", "stability_score")
@@ -301,25 +301,87 @@ def block_membership(blocks: DataFrame) -> DataFrame:
 # --- clamping
 
 
-def _clamp(rows: pd.DataFrame, state: Any) -> tuple[pd.DataFrame, Any]:
-    starts, ends, previous = [], [], state
+LEAST_SECONDS = 0.1
+
+
+def _clamp(rows: pd.DataFrame, previous: float | None) -> tuple[list[float], list[float]]:
+    starts, ends = [], []
     for s, e in zip(rows["start_sec"], rows["end_sec"], strict=True):
         if previous is not None:
             s = max(s, previous)
             if e <= s:
-                e = s + 0.1
+                e = s + LEAST_SECONDS
         starts.append(float(s))
         ends.append(float(e))
         previous = float(e)
-    return rows[["__id"]].assign(start_clamped=starts, end_clamped=ends), previous
+    return starts, ends
+
+
+def _clamp_function(rows: pd.DataFrame) -> tuple[list[float], list[float], int]:
+    """The end after some rows as a function of the end before them.
+
+    Below limits[k] (and not below the one before) it is values[k]; from the last limit on,
+    each row adds LEAST_SECONDS. A row sends an end under its own limit to its own end.
+    """
+    limits: list[float] = []
+    values: list[float] = []
+    pushed = 0
+    for s, e in zip(rows["start_sec"], rows["end_sec"], strict=True):
+        limit, own = (e, e) if e > s else (s, s + LEAST_SECONDS)
+        values = [own if v < limit else v + LEAST_SECONDS for v in values]
+        reach = limit - LEAST_SECONDS * pushed
+        if not limits or reach > limits[-1]:
+            limits.append(reach)
+            values.append(own)
+        pushed += 1
+        # pieces of one value are one piece
+        keep = [k for k in range(len(values)) if k == len(values) - 1 or values[k] != values[k + 1]]
+        limits, values = [limits[k] for k in keep], [values[k] for k in keep]
+    return limits, values, pushed
+
+
+def _clamped_end(limits: list[float], values: list[float], pushed: int, before: float) -> float:
+    k = bisect_right(limits, before)
+    if k < len(values):
+        return float(values[k])
+    for _ in range(pushed):
+        before += LEAST_SECONDS
+    return float(before)
 
 
 def clamp_times(df: DataFrame, key: str, ident: str, order: list[str], width: float = BLOCK_SECONDS) -> DataFrame:
-    """Each start at or after the end before it, and each end at least 0.1 s after its start."""
-    kind = dict(df.dtypes)[ident]
+    """Each start at or after the end before it, and each end at least 0.1 s after its start.
+
+    Every block of time becomes a function from the end before it to the end after it; the
+    functions are applied in order over one row a block, and each block is then clamped from
+    its own end before. Nothing is run twice, whatever the times are.
+    """
+    kind, key_kind = dict(df.dtypes)[ident], dict(df.dtypes)[key]
     slim = df.select(key, F.col(ident).alias("__id"), *[c for c in dict.fromkeys(order) if c not in ("start_sec", "end_sec", ident)], "start_sec", "end_sec")
     by = ["__id" if o == ident else o for o in order]
-    done = od.forgetful_fold(od.with_blocks(slim, by[0], width), [key], by, _clamp, f"__id {kind}, start_clamped double, end_clamped double", "double")
+    rows = od.with_blocks(slim, by[0], width).withColumn("start_sec", F.col("start_sec").cast("double")).withColumn("end_sec", F.col("end_sec").cast("double"))
+
+    def summed(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(by, kind="stable")
+        limits, values, pushed = _clamp_function(pdf)
+        return pd.DataFrame([{key: pdf[key].iloc[0], od.BLOCK: pdf[od.BLOCK].iloc[0], "limits": limits, "values": values, "pushed": pushed, "alone": _clamp(pdf, None)[1][-1]}])
+
+    def scanned(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf, ends, end = pdf.sort_values(od.BLOCK), [], None
+        for limits, values, pushed, alone in zip(pdf["limits"], pdf["values"], pdf["pushed"], pdf["alone"], strict=True):
+            ends.append(end)
+            end = float(alone) if end is None else _clamped_end(list(limits), list(values), int(pushed), end)
+        return pdf[[key, od.BLOCK]].assign(before=pd.Series(ends, index=pdf.index, dtype="float64"))
+
+    def clamped(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(by, kind="stable")
+        before = pdf["before"].iloc[0]
+        starts, ends = _clamp(pdf, None if pd.isna(before) else float(before))
+        return pdf[[key, "__id"]].assign(start_clamped=starts, end_clamped=ends)
+
+    functions = rows.groupBy(key, od.BLOCK).applyInPandas(summed, f"`{key}` {key_kind}, {od.BLOCK} bigint, limits array<double>, values array<double>, pushed int, alone double")
+    before = functions.groupBy(key).applyInPandas(scanned, f"`{key}` {key_kind}, {od.BLOCK} bigint, before double")
+    done = rows.join(before, [key, od.BLOCK]).groupBy(key, od.BLOCK).applyInPandas(clamped, f"`{key}` {key_kind}, __id {kind}, start_clamped double, end_clamped double")
     return done.withColumnRenamed("__id", ident)
 
 
@@ -347,7 +409,7 @@ def merge_short_chunks(df: DataFrame, width: float = BLOCK_SECONDS) -> DataFrame
     """
     slim = df.select("episode_id", "chunk_id", "start_sec", "end_sec", F.length("text").alias("n"))
     heads = od.forgetful_fold(
-        od.with_blocks(slim, "start_sec", width), ["episode_id"], ["start_sec", "chunk_id"], _short, "chunk_id string, head string", "struct<head:string,start:double,end:double,size:int>"
+        od.with_blocks(slim, "start_sec", width), ["episode_id"], ["start_sec", "chunk_id"], _short, "chunk_id string, head string", "struct<head:string,start:double,end:double,size:int>", width
     )
     joined = df.join(heads, ["episode_id", "chunk_id"]).groupBy("episode_id", "head").agg(
         F.array_sort(F.collect_list(F.struct("start_sec", "chunk_id", "text", "end_sec"))).alias("c")

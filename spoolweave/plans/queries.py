@@ -276,9 +276,8 @@ def w_neighbours(spark, d):
     """Neighbours and numbers of all blocks, without a task for a whole episode."""
     order = ["start_sec", "block_id"]
     df = od.with_blocks(blocks(spark, d).select("episode_id", *order), "start_sec", segmentation.BLOCK_SECONDS)
-    df = od.carry_last(df, ["episode_id"], order, F.col("block_id"), "next_block", ahead=True)
-    df = od.carry_last(df, ["episode_id"], order, F.col("block_id"), "block_before")
-    return od.row_numbers(df, ["episode_id"], order, "block_seq").select("episode_id", "block_id", "next_block", "block_before", "block_seq")
+    df = od.neighbours(df, ["episode_id"], order, before={"block_before": F.col("block_id")}, after={"next_block": F.col("block_id")}, number="block_seq")
+    return df.select("episode_id", "block_id", "next_block", "block_before", "block_seq")
 
 
 @query(

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from spoolweave.operators import ordered as od
+from spoolweave.operators import joins as jn
 from spoolweave.operators import segmentation as sg
 
 UNITS = "episode_id string, sentence_id string, start_sec double, end_sec double, text string, char_start int, char_end int, stability_score double, boundary_hints array<struct<type:string>>"
@@ -131,3 +132,32 @@ def test_fold_runs_until_nothing_is_stale(spark, monkeypatch):
 
     got = {r.t: r.s for r in od.forgetful_fold(df, ["k"], ["t"], total, "t double, s int", "int").collect()}
     assert got == {float(i): i + 1 for i in range(12)}
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_clamp_function_equals_the_walk(seed):
+    rng = random.Random(seed)
+    rows = sg.pd.DataFrame([(s := rng.choice([1.0, 5.0, 5.05, 9.0, 40.0]) * i / 3, s + rng.choice([-2.0, 0.0, 0.05, 0.1, 3.0, 30.0])) for i in range(40)], columns=["start_sec", "end_sec"])
+    f = sg._clamp_function(rows)
+    for before in [rng.uniform(-5, 700) for _ in range(60)] + rows["end_sec"].tolist():
+        assert sg._clamped_end(*f, before) == pytest.approx(sg._clamp(rows, before)[1][-1], abs=1e-9)
+
+
+def test_clamp_with_a_wild_end(spark):
+    """One end far ahead pushes every later row, over many blocks, in one pass."""
+    rows = [("e", f"b{i:03d}", i * 400.0, 1e6 if i == 1 else i * 400.0 + 5.0) for i in range(60)]
+    df = spark.createDataFrame(rows, "episode_id string, block_id string, start_sec double, end_sec double")
+    got = {r.block_id: (r.start_clamped, r.end_clamped) for r in sg.clamp_times(df, "episode_id", "block_id", ["start_sec", "block_id"]).collect()}
+    starts, ends = sg._clamp(sg.pd.DataFrame([r[2:] for r in rows], columns=["start_sec", "end_sec"]), None)
+    assert [got[r[1]] for r in rows] == [(pytest.approx(s), pytest.approx(e)) for s, e in zip(starts, ends, strict=True)]
+
+
+def test_intervals_with_wild_ends(spark):
+    rng = random.Random(2)
+    left = [("e", i, (a := rng.uniform(0, 900)), a + rng.choice([2.0, 40.0, 500.0, 1e9])) for i in range(40)]
+    right = [("e", i, (a := rng.uniform(0, 900)), a + rng.choice([-1.0, 1.0, 70.0, 4e10])) for i in range(40)]
+    a = spark.createDataFrame(left, "k string, l_id int, l_start double, l_end double")
+    b = spark.createDataFrame(right, "k string, r_id int, r_start double, r_end double")
+    want = sorted((x[1], y[1]) for x in left for y in right if y[3] >= y[2] and y[3] >= x[2] - 0.3 and y[2] <= x[3] + 0.3)
+    assert sorted((r.l_id, r.r_id) for r in jn.interval_overlap(a, b, ["k"], 30.0, 0.3).collect()) == want
+    assert jn.interval_overlap(a.limit(0), b, ["k"], 30.0).count() == 0
