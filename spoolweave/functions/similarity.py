@@ -127,3 +127,12 @@ def matches_result(segment: Column, result: Column) -> Column:
     filled = (F.length(segment) > 0) & (F.length(result) > 0)
     head = F.substring(segment, 1, 12) == F.substring(result, 1, 12)
     return filled & (head | (sequence_ratio(F.substring(segment, 1, 48), F.substring(result, 1, 48)) >= 0.7))
+
+
+def score_candidates(texts: dict[str, tuple[Column, Column]], least: float = 0.7) -> Column:
+    """Agreement of the usable texts, and a flag where two or more of them disagree (M5). texts: match text and usability by source."""
+    used = [F.when(usable, norm).otherwise("") for norm, usable in texts.values()]
+    count = sum((usable.cast("int") for _, usable in texts.values()), F.lit(0))
+    score = agreement(used)
+    flags = F.array_compact(F.array(F.when((count >= 2) & (score < least), F.lit("all_models_disagree"))))
+    return F.struct(score.alias("agreement"), flags.alias("flags"))

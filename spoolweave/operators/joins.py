@@ -101,3 +101,9 @@ def rewrites(texts: Column) -> Column:
 def stability_score(updates: Column, rewrites_: Column) -> Column:
     """0.82 less the weight of updates and rewrites, within 0.05 and 0.99."""
     return F.greatest(F.lit(0.05), F.least(F.lit(0.99), 0.82 - F.least(F.lit(0.38), 0.015 * F.log1p(updates.cast("double")) + 0.03 * rewrites_)))
+
+
+def with_selected_source(rows: DataFrame, selected: DataFrame) -> DataFrame:
+    """Rows with the source selected for their block, 'unknown' where none was."""
+    chosen = selected.select("episode_id", "block_id", "selected_source").dropDuplicates(["episode_id", "block_id"])
+    return rows.join(chosen, ["episode_id", "block_id"], "left").fillna("unknown", ["selected_source"])

@@ -422,3 +422,28 @@ def merge_short_chunks(df: DataFrame, width: float = BLOCK_SECONDS) -> DataFrame
         F.get("c", F.size("c") - 1)["end_sec"].alias("end_sec"),
         F.size("c").alias("chunks"),
     )
+
+
+def segment_records(texts: DataFrame, terminators: str = tb.TERMINATORS) -> DataFrame:
+    """Numbered segments of full texts: timed chunks, short ones joined to their neighbours.
+
+    texts: episode_id, full_text, timeline, source_file.
+    """
+    timed = _timed_chunks(F.col("full_text"), F.transform("timeline", lambda x: x["start_sec"]), F.transform("timeline", lambda x: x["end_sec"]), F.lit(terminators))
+    rows = texts.select("episode_id", "source_file", F.explode(timed).alias("u")).select("episode_id", "source_file", "u.*").withColumn("chunk_id", F.format_string("%012d", "n"))
+    merged = merge_short_chunks(rows.select("episode_id", "chunk_id", "start_sec", "end_sec", "text"))
+    head = rows.select("episode_id", F.col("chunk_id").alias("head"), "char_start", "source_file", F.col("n").alias("source_index"))
+    df = od.row_numbers(od.with_blocks(merged.join(head, ["episode_id", "head"]), "start_sec", BLOCK_SECONDS), ["episode_id"], ["start_sec", "head"], "no")
+    return df.select(
+        "episode_id",
+        F.format_string("seg_%06d", "no").alias("segment_id"),
+        "start_sec",
+        "end_sec",
+        "text",
+        "char_start",
+        (F.col("char_start") + F.length("text")).alias("char_end"),
+        F.lit(0.8).alias("stability_score"),
+        F.lit(False).alias("start_sec_is_estimated"),
+        "source_file",
+        "source_index",
+    )

@@ -9,16 +9,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from spoolweave.functions import numeric as nm
 from spoolweave.functions import similarity as sm
 from spoolweave.functions import tables as tb
 from spoolweave.functions import text as tx
-from spoolweave.operators import alignment, fusion, joins, reports, risk, segmentation, validation
+from spoolweave.operators import alignment, arbitration, fusion, joins, reports, risk, segmentation, spans, validation
 from spoolweave.operators import ordered as od
-from spoolweave.session import table
+from spoolweave.session import scratch_folder, table
+from spoolweave.sources import episodes, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -27,8 +28,8 @@ FLAGSHIP = "f_final_blocks"
 
 UNIT, BLOCK, CAND = ["episode_id", "sentence_id"], ["episode_id", "block_id"], ["episode_id", "block_id", "source"]
 TERMS = {"map": ("map", "地図", "mapa", "carte", "Karte"), "budget": ("budget", "予算", "presupuesto", "예산", "预算"), "water": ("water level", "水位", "relevé des eaux", "Wasserprotokoll")}
-RULES = (("harbour", "harbor"), ("harbor keeper", "harbourmaster"), ("だそうです", "という"), ("という。", "とのこと。"), ("nobody had read", "unread"))
-HARD, SOFT = ("2.5.1", "Ver."), ("によると", "と比べると", "the night editor", "の記録")
+RULES = (*tb.CORRECTIONS, ("harbour", "harbor"), ("harbor keeper", "harbourmaster"), ("だそうです", "という"), ("という。", "とのこと。"), ("nobody had read", "unread"))
+HARD, SOFT = (*tb.HARD_PATTERNS, "2.5.1", "Ver."), (*tb.SOFT_PATTERNS, "によると", "と比べると", "the night editor", "の記録")
 RESPONSES = (*tb.SHORT_RESPONSES, "Yeah", "I see", "Sure", "Genau", "Oui", "Sí", "たしかに")
 WS = "[\\s\\x{0b}\\x{1c}-\\x{1f}\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]"
 
@@ -108,13 +109,16 @@ def t_boundary_hints(spark, d):
 @query(
     f"""SELECT episode_id, block_id, source, array_to_string(list_sort(list_distinct(regexp_extract_all(coalesce(text, ''), '\\p{{Nd}}+(?:[.,]\\p{{Nd}}+)?'))), '|') AS numbers,
     array_to_string(list_sort(list_distinct(regexp_extract_all(coalesce(text, ''), '[0-9０-９]+'))), '|') AS digit_runs,
-    array_to_string(list_sort(list_distinct(regexp_extract_all(coalesce(text, ''), '[\\x{{30A0}}-\\x{{30FF}}]{{2,}}'))), '|') AS katakana FROM {C}"""
+    array_to_string(list_sort(list_distinct(regexp_extract_all(coalesce(text, ''), '[\\x{{30A0}}-\\x{{30FF}}]{{2,}}'))), '|') AS katakana,
+    array_to_string(list_sort(list_distinct(regexp_extract_all(coalesce(text, ''), '[A-Za-z]{{2,}}'))), '|') AS latin,
+    array_to_string(list_sort(list_distinct(regexp_extract_all(coalesce(text, ''), '[\\x{{4E00}}-\\x{{9FFF}}]{{2,4}}'))), '|') AS kanji FROM {C}"""
 )
 def t_tokens(spark, d):
     """T9 and T10 over all candidates."""
     text = F.col("text")
+    sets = tx.tokens(text)
     return candidates(spark, d).select(
-        *CAND, F.array_join(tx.numbers(text), "|").alias("numbers"), F.array_join(tx.digit_runs(text), "|").alias("digit_runs"), F.array_join(tx.tokens(text)["katakana"], "|").alias("katakana")
+        *CAND, F.array_join(tx.numbers(text), "|").alias("numbers"), F.array_join(tx.digit_runs(text), "|").alias("digit_runs"), *[F.array_join(sets[n], "|").alias(n) for n in ("katakana", "latin", "kanji")]
     )
 
 
@@ -246,7 +250,15 @@ def g_units_of_texts(spark, d):
     return segmentation.sentence_units(timed, tb.TERMINATORS + ".").select("episode_id", "sentence_id", "char_start", "char_end", "start_sec", "end_sec", "unit_kind", "stability_score")
 
 
-@query()
+@query(
+    f"""WITH RECURSIVE u AS (SELECT episode_id, sentence_id, start_sec, coalesce(end_sec, start_sec) AS e, length(coalesce(text, '')) AS n, row_number() OVER (PARTITION BY episode_id ORDER BY start_sec, sentence_id) AS rn FROM {U}),
+    f AS (SELECT episode_id, rn, sentence_id AS head, start_sec AS s0, e AS e0, n AS size FROM u WHERE rn = 1
+        UNION ALL
+        SELECT episode_id, rn, CASE WHEN g THEN head ELSE sentence_id END, CASE WHEN g THEN s0 ELSE start_sec END, e, CASE WHEN g THEN size + n ELSE n END FROM (
+            SELECT u.*, f.head, f.s0, f.size, (f.size < {tb.SHORT_CHUNK_CHARS} OR u.n < {tb.SHORT_CHUNK_CHARS} OR f.e0 - f.s0 < {float(tb.SHORT_CHUNK_SECONDS)}::DOUBLE OR u.e - u.start_sec < {float(tb.SHORT_CHUNK_SECONDS)}::DOUBLE)
+                AND f.size + u.n <= {tb.MERGED_CHARS} AND u.e - f.s0 <= {float(tb.MERGED_SECONDS)}::DOUBLE AS g FROM f JOIN u ON u.episode_id = f.episode_id AND u.rn = f.rn + 1))
+    SELECT f.episode_id, f.head, min_by(u.start_sec, f.rn) AS start_sec, max_by(u.e, f.rn) AS end_sec, CAST(count(*) AS INT) AS chunks, CAST(sum(u.n) AS INT) AS length FROM f JOIN u USING (episode_id, rn) GROUP BY 1, 2"""
+)
 def g_short_chunks(spark, d):
     """G6 over all units as chunks."""
     u = units(spark, d).select("episode_id", F.col("sentence_id").alias("chunk_id"), "start_sec", F.coalesce("end_sec", "start_sec").alias("end_sec"), F.coalesce("text", F.lit("")).alias("text"))
@@ -391,13 +403,15 @@ def r_normalized_flags(spark, d):
 
 
 @query(
-    f"""SELECT episode_id, block_id, source, CASE WHEN text IS NULL THEN 'E' WHEN l >= 0.88 AND a >= 0.88 THEN 'A' WHEN l >= 0.75 AND a >= 0.75 THEN 'B' WHEN l >= 0.4 AND a >= 0.45 THEN 'C' WHEN l >= 0.25 THEN 'D' ELSE 'E' END AS grade
-    FROM (SELECT *, coalesce(local_alignment_score, 0) AS l, coalesce(alignment_score, 0) AS a FROM {C})"""
+    f"""SELECT episode_id, block_id, source, CASE WHEN text IS NULL THEN 'E' WHEN l >= 0.88 AND a >= 0.88 AND NOT r THEN 'A' WHEN l >= 0.75 AND a >= 0.75 AND NOT r THEN 'B' WHEN l >= 0.4 AND a >= 0.45 THEN 'C' WHEN l >= 0.25 THEN 'D' ELSE 'E' END AS grade
+    FROM (SELECT *, coalesce(local_alignment_score, 0) AS l, coalesce(max(local_alignment_score) FILTER (source <> 'apple') OVER (PARTITION BY episode_id, block_id), 0) AS a, coalesce(boundary_contamination, false) AS r FROM {C})"""
 )
 def r_quality_grade(spark, d):
-    """R3 on the candidates' scores."""
-    l, a = F.coalesce("local_alignment_score", F.lit(0.0)), F.coalesce("alignment_score", F.lit(0.0))  # noqa: E741
-    return candidates(spark, d).select(*CAND, risk.quality_grade(l, a, F.lit(False), F.col("text").isNull()).alias("grade"))
+    """R3 on each candidate's score, the best score of its block's engines, and its contamination."""
+    c = candidates(spark, d)
+    best = c.where("source <> 'apple'").groupBy(*BLOCK).agg(F.max("local_alignment_score").alias("best"))
+    l, a = F.coalesce("local_alignment_score", F.lit(0.0)), F.coalesce("best", F.lit(0.0))  # noqa: E741
+    return c.join(best, BLOCK, "left").select(*CAND, risk.quality_grade(l, a, risk.no(F.col("boundary_contamination")), F.col("text").isNull()).alias("grade"))
 
 
 @query()
@@ -505,34 +519,176 @@ def j_interval_overlap(spark, d):
 
 
 @query(
-    f"""SELECT episode_id, sentence_id, CAST(length(text) AS INT) AS length, coalesce(char_start < lag(char_end) OVER (PARTITION BY episode_id ORDER BY char_start, sentence_id), false) AS overlap, length(text) < 3 AS very_short FROM {U}"""
+    f"""SELECT episode_id, sentence_id, CAST(length(text) AS INT) AS length, coalesce(char_start < lag(char_end) OVER (PARTITION BY episode_id ORDER BY char_start, sentence_id), false) AS overlap, length(text) < 3 AS very_short,
+    text IS DISTINCT FROM substr(whole, char_start + 1, char_end - char_start) AS mismatch FROM {U} LEFT JOIN (SELECT DISTINCT ON (episode_id) episode_id, raw_text AS whole FROM text_artifact WHERE source = 'apple') USING (episode_id)"""
 )
 def v_units(spark, d):
-    """V1 and W4."""
-    return validation.check_units(table(spark, d, "sentence_unit")).drop("mismatch")
+    """V1 and W4, against the anchor's whole text."""
+    whole = table(spark, d, "text_artifact").where("source = 'apple'").dropDuplicates(["episode_id"]).select("episode_id", F.col("raw_text").alias("full_text"))
+    return validation.check_units(table(spark, d, "sentence_unit"), whole)
 
 
 @query(
     f"""WITH m AS (SELECT episode_id, block_id, unnest(sentence_ids) AS sentence_id, generate_subscripts(sentence_ids, 1) AS pos FROM {B}),
     j AS (SELECT m.*, u.text AS t, u.start_sec AS s, u.end_sec AS e, u.episode_id IS NULL AS gone FROM m LEFT JOIN {U} u USING (episode_id, sentence_id)),
-    a AS (SELECT episode_id, block_id, count(*) FILTER (t IS NULL) AS missing, count(*) - count(DISTINCT sentence_id) AS repeated, string_agg(coalesce(t, ''), '' ORDER BY pos) AS joined, arg_min(s, pos) AS s0, max_by(e, pos) AS e1 FROM j GROUP BY ALL)
-    SELECT episode_id, block_id, coalesce(missing, 0) AS missing, coalesce(repeated, 0) AS repeated, joined IS NULL AS empty, text IS DISTINCT FROM joined AS text_mismatch FROM {B} b LEFT JOIN a USING (episode_id, block_id)"""
+    a AS (SELECT episode_id, block_id, count(*) FILTER (t IS NULL) AS missing, count(*) - count(DISTINCT sentence_id) AS repeated, string_agg(coalesce(t, ''), '' ORDER BY pos) AS joined, arg_min_null(s, pos) AS s0, arg_max_null(e, pos) AS e1 FROM j GROUP BY ALL)
+    SELECT episode_id, block_id, coalesce(missing, 0) AS missing, coalesce(repeated, 0) AS repeated, joined IS NULL AS empty, text IS DISTINCT FROM joined AS text_mismatch, start_sec IS DISTINCT FROM s0 OR end_sec IS DISTINCT FROM e1 AS time_mismatch FROM {B} b LEFT JOIN a USING (episode_id, block_id)"""
 )
 def v_blocks(spark, d):
     """Members against the block."""
-    return validation.check_blocks(table(spark, d, "alignment_block"), table(spark, d, "sentence_unit")).drop("time_mismatch")
+    return validation.check_blocks(table(spark, d, "alignment_block"), table(spark, d, "sentence_unit"))
 
 
-@query(f"SELECT DISTINCT episode_id, sentence_id FROM sentence_unit EXCEPT SELECT episode_id, unnest(sentence_ids) FROM {B}")
+@query(f"SELECT DISTINCT episode_id, sentence_id FROM sentence_unit EXCEPT SELECT episode_id, unnest(sentence_ids) FROM {B} WHERE stability_score >= 0.8")
 def j_unassigned(spark, d):
-    """Sentences in no block."""
-    return validation.unassigned_sentences(blocks(spark, d), table(spark, d, "sentence_unit"))
+    """Sentences in no stable block."""
+    return validation.unassigned_sentences(blocks(spark, d).where("stability_score >= 0.8"), table(spark, d, "sentence_unit"))
 
 
-@query(f"SELECT episode_id, sentence_id, count(*) AS blocks FROM (SELECT DISTINCT episode_id, block_id, unnest(sentence_ids) AS sentence_id FROM {B}) GROUP BY ALL HAVING count(*) > 1")
+@query(f"SELECT episode_id, sentence_id, count(*) AS blocks FROM (SELECT DISTINCT episode_id, block_id, unnest(s) AS sentence_id FROM (SELECT *, list_concat(sentence_ids, [lead(sentence_ids[1]) OVER (PARTITION BY episode_id ORDER BY start_sec, block_id)]) AS s FROM {B})) WHERE sentence_id IS NOT NULL GROUP BY ALL HAVING count(*) > 1")
 def j_doubly_assigned(spark, d):
-    """Sentences in several blocks."""
-    return validation.doubly_assigned(blocks(spark, d))
+    """Sentences in several blocks, where each block also names the first sentence of the next."""
+    df = od.with_blocks(blocks(spark, d).select(*BLOCK, "start_sec", "sentence_ids"), "start_sec", segmentation.BLOCK_SECONDS)
+    df = od.neighbours(df, ["episode_id"], ["start_sec", "block_id"], after={"next": F.get("sentence_ids", F.lit(0))})
+    return validation.doubly_assigned(df.withColumn("sentence_ids", F.array_compact(F.concat("sentence_ids", F.array("next")))))
+
+
+_D = "(SELECT DISTINCT ON (episode_id, block_id) episode_id, block_id, selected_source FROM llm_decision WHERE selected_source IS NOT NULL ORDER BY episode_id, block_id, request_id)"
+
+
+@query(
+    f"""SELECT episode_id, source, coalesce(sum(search_radius) FILTER (source = coalesce(selected_source, 'unknown')), 0)::DOUBLE AS chosen, coalesce(sum(search_radius) FILTER (source <> coalesce(selected_source, 'unknown')), 0)::DOUBLE AS other
+    FROM {C} LEFT JOIN {_D} USING (episode_id, block_id) GROUP BY ALL"""
+)
+def j_selected_effort(spark, d):
+    """Search effort spent on the source selected for a block, and on the others."""
+    decided = table(spark, d, "llm_decision").where("selected_source is not null").groupBy(*BLOCK).agg(F.min_by("selected_source", "request_id").alias("selected_source"))
+    rows = joins.with_selected_source(candidates(spark, d), decided).withColumn("search_radius", F.coalesce(F.col("search_radius").cast("double"), F.lit(0.0)))
+    return reports.split_totals(rows, F.col("source") == F.col("selected_source"), "search_radius", ["episode_id", "source"])
+
+
+@query(f"SELECT request_id, episode_id, block_id FROM (SELECT DISTINCT request_id, episode_id, block_id FROM llm_decision WHERE needs_review) ORDER BY request_id LIMIT 10")
+def k_problem_rows(spark, d):
+    """The first ten rows that need a review."""
+    rows = table(spark, d, "llm_decision").where("needs_review").select("request_id", "episode_id", "block_id").distinct()
+    return reports.top_rows(rows, [], [F.col("request_id").asc()], 10)
+
+
+@query(f"SELECT source AS name, count(*) AS count, row_number() OVER (ORDER BY count(*) DESC, min(episode_id || '|' || block_id || '|' || source)) AS place FROM {C} GROUP BY source")
+def h_first_seen(spark, d):
+    """H3: values from the commonest down, ties by where they were first seen."""
+    c = candidates(spark, d).withColumn("at", F.concat_ws("|", *CAND))
+    counts = reports.most_common(c, "source", ["at"])
+    return counts.join(c.groupBy(F.col("source").alias("name")).agg(F.min("at").alias("at")), "name").withColumn("place", F.row_number().over(Window.orderBy(F.desc("count"), "at")).cast("bigint")).drop("at")
+
+
+@query(
+    f"""SELECT episode_id, block_id, max_by(source, (coalesce(search_radius, 0)::DOUBLE, source)) AS widest FROM {C} WHERE source <> 'apple' GROUP BY ALL"""
+)
+def h_dominant(spark, d):
+    """The engine whose search was the widest, by a map of efforts."""
+    efforts = F.map_from_entries(F.collect_list(F.struct("source", F.coalesce(F.col("search_radius").cast("double"), F.lit(0.0)).alias("v"))))
+    return candidates(spark, d).groupBy(*BLOCK).agg(efforts.alias("m")).select(*BLOCK, reports.dominant(F.col("m"), ("apple",)).alias("widest")).where("widest is not null")
+
+
+# --- sources, outputs, arbitration, spans
+
+_ENGINES = ", ".join(lit(e) for e in tb.ENGINE_SUFFIX)
+_T = "(SELECT DISTINCT ON (episode_id, source) episode_id, source, coalesce(raw_text, '') AS raw_text FROM text_artifact)"
+
+
+def artifact_files(spark: SparkSession, d: str) -> DataFrame:
+    """The artifacts as the files a run reads, written to the shared folder and listed."""
+    texts = table(spark, d, "text_artifact").dropDuplicates(["episode_id", "source"]).select("episode_id", "source", tx.text_or_empty(F.col("raw_text")).alias("raw_text"))
+    return episodes.list_files(spark, sinks.write_episode_files(texts, scratch_folder(spark)), content=True)
+
+
+@query(f"SELECT episode_id, source, raw_text FROM {_T} WHERE source IN ({_ENGINES})")
+def s_engine_texts(spark, d):
+    """Engine texts written as files and read back."""
+    return episodes.engine_texts(artifact_files(spark, d))
+
+
+@query(f"SELECT a.episode_id, nfc_normalize(a.raw_text) AS full_text, CAST(length(nfc_normalize(a.raw_text)) AS INT) AS timed, CAST(0 AS INT) AS has_snapshots FROM {_T} a WHERE a.source = 'apple' AND length(a.raw_text) > 0")
+def s_anchor_texts(spark, d):
+    """Anchor texts written as JSON and archives and read back, with a time for each character."""
+    done = episodes.anchor_timeline(artifact_files(spark, d)).where(F.length("full_text") > 0)
+    return done.where("source_file is not null").select("episode_id", "full_text", F.size("timeline").alias("timed"), "has_snapshots")
+
+
+@query(f"SELECT episode_id, sentence_id, text, start_sec, end_sec, confidence, confirmed_snapshot_indexes IS NULL AS unconfirmed FROM (SELECT DISTINCT ON (episode_id, sentence_id) episode_id, sentence_id, text, start_sec, end_sec, confirmed_snapshot_indexes, max(confidence) OVER (PARTITION BY episode_id, sentence_id) AS confidence FROM sentence_unit)")
+def s_table_round_trip(spark, d):
+    """The units written as JSON lines by episode and read back."""
+    best = Window.partitionBy(*UNIT)
+    rows = table(spark, d, "sentence_unit").withColumn("confidence", F.max("confidence").over(best)).dropDuplicates(UNIT).select(*UNIT, "text", "start_sec", "end_sec", "confidence", "confirmed_snapshot_indexes")
+    path = sinks.write_table(rows, scratch_folder(spark), "units")
+    back = episodes.read_jsonl(spark, path, ", ".join(f"{n} {t}" for n, t in rows.dtypes))
+    return back.select(*UNIT, "text", "start_sec", "end_sec", "confidence", F.col("confirmed_snapshot_indexes").isNull().alias("unconfirmed"))
+
+
+_PROMPT = " || chr(10) || ".join([lit(arbitration.INSTRUCTION), *[f"'{x}: ' || coalesce(max(text) FILTER (source = '{x}'), '')" for x in tb.SOURCES]])
+
+
+@query(f"SELECT episode_id, block_id, sha256(episode_id || '|' || block_id || '|{arbitration.VERSION}|' || sha256({_PROMPT})) AS cache_key FROM {C} GROUP BY episode_id, block_id")
+def l_cache_keys(spark, d):
+    """Prompt and key of every block's request."""
+    texts = candidates(spark, d).groupBy(*BLOCK).agg(*[F.max(F.when(F.col("source") == x, F.col("text"))).alias(f"{x}_text") for x in tb.SOURCES])
+    return texts.select(*BLOCK, arbitration.cache_key(arbitration.request(texts)).alias("cache_key"))
+
+
+@query()
+def l_applied_decisions(spark, d):
+    """The table's decisions applied to the primary texts of their blocks."""
+    texts = candidates(spark, d).groupBy(*BLOCK).agg(*[F.max(F.when(F.col("source") == x, F.col("text"))).alias(f"{x}_text") for x in tb.SOURCES])
+    finals = texts.withColumn("selected_source", F.lit(tb.PRIMARY)).withColumn("final_text", F.col(f"{tb.PRIMARY}_text"))
+    made = table(spark, d, "llm_decision").groupBy(*BLOCK).agg(F.min_by(F.struct("success", "error", "selected_source", "final_text"), "request_id").alias("x")).select(*BLOCK, "x.*")
+    return arbitration.apply_decisions(finals, made.withColumn("success", F.coalesce("success", F.lit(False)))).select(*BLOCK, "selected_source", "final_text", "method", "accepted", "changed", "reasons")
+
+
+def timed_texts(spark: SparkSession, d: str) -> DataFrame:
+    """The anchor texts with times spread evenly at 0.2 s a character."""
+    texts = table(spark, d, "text_artifact").where("source = 'apple'").dropDuplicates(["episode_id"])
+    texts = texts.select("episode_id", tx.nfc(tx.text_or_empty(F.col("raw_text"))).alias("full_text"), "source_file")
+    runs = F.lit(None).cast("array<struct<text:string,audioTimeRange:struct<startSeconds:double,endSeconds:double>,transcriptionConfidence:double>>")
+    return texts.withColumn("timeline", segmentation.char_timeline(F.col("full_text"), runs, F.lit(0.0), F.length("full_text") * 0.2))
+
+
+@query()
+def a_block_candidates(spark, d):
+    """Candidate spans in every engine's text for the segments of every anchor text, with what a span must hold."""
+    texts = table(spark, d, "text_artifact").dropDuplicates(["episode_id", "source"]).where("source <> 'apple_txt'").select("episode_id", "source", "raw_text")
+    parts = segmentation.segment_records(timed_texts(spark, d), tb.TERMINATORS + ".").select("episode_id", F.col("segment_id").alias("block_id"), "char_start", "char_end")
+    found = spans.block_candidates(parts, texts, alignment.align_engines(texts))
+    rows = found.join(texts.select("episode_id", "source", tx.nfc(tx.text_or_empty(F.col("raw_text"))).alias("whole")), ["episode_id", "source"])
+    span = F.substring("whole", F.col("char_start") + 1, F.col("char_end") - F.col("char_start"))
+    free = F.col("skipped") | (F.length("text") == 0)
+    return rows.select(
+        *CAND,
+        (free | F.contains(F.col("whole"), F.col("text")) & (F.contains(span, F.col("text")) | (F.length(tx.strip(span)) == 0))).alias("text_in_place"),
+        ((F.col("char_start") - F.col("initial_char_start") == F.col("span_drift_start")) & (F.col("char_end") - F.col("initial_char_end") == F.col("span_drift_end"))).alias("drift_adds_up"),
+        F.col("local_alignment_score").between(0, 1).alias("score_in_range"),
+        (F.col("usable_for_agreement") | (F.size("unusable_reason") > 0)).alias("reason_if_unusable"),
+    )
+
+
+@query()
+def g_segment_records(spark, d):
+    """Segment records of the anchor texts, with times spread evenly at 0.2 s a character."""
+    return segmentation.segment_records(timed_texts(spark, d), tb.TERMINATORS + ".")
+
+
+@query()
+def m_candidate_scores(spark, d):
+    """M5 and M6: agreement of each block's usable candidates with its flag, and the pairwise ratios."""
+    texts = candidates(spark, d).groupBy(*BLOCK).agg(
+        *[F.max(F.when(F.col("source") == x, F.col("text"))).alias(f"__{x}") for x in tb.SOURCES],
+        *[F.coalesce(F.bool_or(F.when(F.col("source") == x, F.col("usable_for_agreement"))), F.lit(False)).alias(f"{x}_usable") for x in tb.SOURCES],
+    )
+    for x in tb.SOURCES:
+        texts = texts.withColumn(f"{x}_text", tx.text_or_empty(F.col(f"__{x}"))).withColumn(f"{x}_norm", tx.match_norm(F.col(f"{x}_text"))).drop(f"__{x}")
+    scored = fusion.agreement_metrics(texts.withColumn("score", sm.score_candidates({x: (F.col(f"{x}_norm"), F.col(f"{x}_usable")) for x in tb.SOURCES})))
+    ratios = [c for c in scored.columns if c.endswith("_similarity")]
+    return scored.select(*BLOCK, F.round("score.agreement", 6).alias("agreement"), "score.flags", *[F.round(c, 6).alias(c) for c in ratios], "qwen_boundary_tainted")
 
 
 def queries() -> dict[str, Query]:

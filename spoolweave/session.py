@@ -61,6 +61,13 @@ def cut(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """A new folder below the shared checkpoint folder, removed when the driver ends."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/spoolweave-{uuid.uuid4().hex}"
+    _written.append((spark, path))
+    return path
+
+
 _written: list[tuple[SparkSession, str]] = []
 
 
