@@ -3,7 +3,7 @@
 Each distinct text counts once, under the document with the smallest id that has it, so no
 text stands more often in the mix than its source's cap. The mix is as large as the caps
 allow while every source has exactly its share: size = min over sources of
-available * cap / weight.
+available * cap / weight; or smaller, if a total is asked for.
 
 Within a source, texts are ordered by a seeded hash of their content. The hash's leading
 bits range-partition the order into buckets; sums of tokens by bucket and a scan over the
@@ -86,7 +86,7 @@ def document_sizes(documents: DataFrame, targets: DataFrame, tokenizer: str = TO
     return one.select("text_id", "d.*")
 
 
-def source_plan(sizes: DataFrame, targets: DataFrame) -> DataFrame:
+def source_plan(sizes: DataFrame, targets: DataFrame, total: int | None = None) -> DataFrame:
     """Per source: available tokens, weight, cap, budget, whole epochs and the rest of the budget."""
     clean = (
         targets.select(source_key(F.col("source")).alias("source"), F.coalesce("target_weight", F.lit(0.0)).cast("double").alias("weight"), F.coalesce("max_repeats", F.lit(1)).cast("bigint").alias("cap"))
@@ -98,16 +98,18 @@ def source_plan(sizes: DataFrame, targets: DataFrame) -> DataFrame:
     every = Window.partitionBy(F.lit(1))  # one row a source
     plan = clean.join(have, "source").withColumn("weight", F.col("weight") / F.sum("weight").over(every))
     plan = plan.withColumn("mix", F.min(F.col("available") * F.col("cap") / F.col("weight")).over(every))
+    if total is not None:
+        plan = plan.withColumn("mix", F.least(F.col("mix"), F.lit(float(total))))
     plan = plan.withColumn("budget", F.least(F.round(F.col("mix") * F.col("weight")).cast("bigint"), F.col("available") * F.col("cap")))
     plan = plan.withColumn("epochs", F.floor(F.col("budget") / F.col("available")))
     return plan.withColumn("rest", F.col("budget") - F.col("epochs") * F.col("available"))
 
 
-def mix_sources(documents: DataFrame, targets: DataFrame, tokenizer: str = TOKENIZER, seed: int = SEED) -> DataFrame:
-    """doc_id, source, tokens and repeats of the chosen texts."""
+def mix_sources(documents: DataFrame, targets: DataFrame, tokenizer: str = TOKENIZER, seed: int = SEED, total: int | None = None) -> DataFrame:
+    """doc_id, source, tokens and repeats of the chosen texts; ``total`` is the size wished for, in tokens."""
     order = F.xxhash64("text_id", F.lit(seed))
     sizes = cut(document_sizes(documents, targets, tokenizer).withColumn("place", order).withColumn("bucket", F.shiftright("place", 64 - BUCKET_BITS)))
-    plan = source_plan(sizes, targets).select("source", "epochs", "rest")
+    plan = source_plan(sizes, targets, total).select("source", "epochs", "rest")
     # scan over at most 2 ** BUCKET_BITS rows a source
     scan = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     buckets = sizes.groupBy("source", "bucket").agg(F.sum("tokens").alias("sum")).join(plan, "source").withColumn("through", F.sum("sum").over(scan))
@@ -123,9 +125,9 @@ def mix_sources(documents: DataFrame, targets: DataFrame, tokenizer: str = TOKEN
     return whole.select(*columns).unionByName(edge.select(*columns)).where("repeats > 0")
 
 
-def mix_shares(documents: DataFrame, targets: DataFrame, tokenizer: str = TOKENIZER, seed: int = SEED) -> DataFrame:
+def mix_shares(documents: DataFrame, targets: DataFrame, tokenizer: str = TOKENIZER, seed: int = SEED, total: int | None = None) -> DataFrame:
     """Per source: its target share, the tokens and share reached, texts, and the most repeats."""
-    mixed = mix_sources(documents, targets, tokenizer, seed)
+    mixed = mix_sources(documents, targets, tokenizer, seed, total)
     got = mixed.groupBy("source").agg(F.sum(F.col("tokens") * F.col("repeats")).alias("tokens"), F.count("*").alias("texts"), F.max("repeats").alias("most_repeats"))
     weights = targets.select(source_key(F.col("source")).alias("source"), "target_weight").where("source is not null").groupBy("source").agg(F.sum("target_weight").alias("target_share"))
     out = weights.join(got, "source", "left").fillna(0, ["tokens", "texts", "most_repeats"])

@@ -3,7 +3,7 @@
 Per block: prefix sums of the sentence lengths form the sorted boundary array, the last
 boundary under the limit is found by binary search, the next piece steps back by the
 overlapping sentence where that leaves room, and a sentence over the limit is cut inside
-(at the last space or mark under the limit, else hard).
+(at the last space or mark under the limit, else hard; OVERLAP characters back each time).
 
 Only oversized blocks leave the scan, and only the sentences they name are joined, by a
 shuffle on (episode, sentence); a block's sentences meet in one row, as in its sentence_ids.
@@ -25,6 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 LIMIT = 400
+#: Characters that the parts of a sentence over the limit share with the part before.
+OVERLAP = 40
 
 
 def cut_pieces(lengths: list[int], limit: int = LIMIT) -> list[tuple[int, int]]:
@@ -102,11 +104,11 @@ def block_pieces(blocks: DataFrame, units: DataFrame, limit: int = LIMIT) -> Dat
     return lists.mapInArrow(lambda it: _cut(it, limit), schema)
 
 
-def _inner(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
+def _inner(batches: Iterator[pa.RecordBatch], limit: int, overlap: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows, no, a, b = [], [], [], []
         for r, text in enumerate(batch.column("text").to_pylist()):
-            for k, (x, y) in enumerate(cut_inside(text, limit)):
+            for k, (x, y) in enumerate(cut_inside(text, limit, overlap)):
                 rows.append(r)
                 no.append(k + 1)
                 a.append(x)
@@ -124,9 +126,9 @@ def _inner(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordB
         )
 
 
-def long_sentence_parts(blocks: DataFrame, units: DataFrame, limit: int = LIMIT) -> DataFrame:
+def long_sentence_parts(blocks: DataFrame, units: DataFrame, limit: int = LIMIT, overlap: int = OVERLAP) -> DataFrame:
     """The inner cuts of sentences over the limit, for the oversized blocks that name them."""
     large, sentences = oversized_sentences(blocks, units, limit)
     joined = large.join(sentences.where(F.col("size") > limit), ["episode_id", "sentence_id"]).dropDuplicates(["episode_id", "block_id", "sentence_id"])
     schema = "episode_id string, block_id string, sentence_id string, part_no int, char_start int, char_end int"
-    return joined.select("episode_id", "block_id", "sentence_id", "text").mapInArrow(lambda it: _inner(it, limit), schema)
+    return joined.select("episode_id", "block_id", "sentence_id", "text").mapInArrow(lambda it: _inner(it, limit, overlap), schema)

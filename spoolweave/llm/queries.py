@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spoolweave.llm import languages, leaks, lookalike, mixing, pairs, pieces, repetition, sentences, turns
-from spoolweave.session import table
+from spoolweave.session import cut, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -43,6 +43,11 @@ def p2_shares(spark: SparkSession, d: str) -> DataFrame:
     return repetition.repetition_shares(table(spark, d, "block_candidate"), "text", CANDIDATE)
 
 
+def p2_cascade(spark: SparkSession, d: str) -> DataFrame:
+    tune(spark)
+    return repetition.cascade(table(spark, d, "block_candidate"), "text", CANDIDATE)
+
+
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     tune(spark)
     units, texts = table(spark, d, "sentence_unit"), table(spark, d, "text_artifact")
@@ -120,6 +125,19 @@ def p8_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixing.mix_shares(table(spark, d, "documents"), table(spark, d, "mix_target"))
 
 
+def p8_checks(spark: SparkSession, d: str) -> DataFrame:
+    """What a mix must hold, by source: caps kept, no text twice, the share within a hundredth of its target."""
+    tune(spark)
+    documents, targets = table(spark, d, "documents"), table(spark, d, "mix_target")
+    mix = cut(mixing.mix_sources(documents, targets))
+    caps = targets.select(mixing.source_key(F.col("source")).alias("source"), "target_weight", "max_repeats")
+    texts = mix.join(documents.select("doc_id", F.xxhash64("text").alias("t")).distinct(), "doc_id")
+    total = mix.agg(F.sum(F.col("tokens") * F.col("repeats")).alias("total"))
+    by = texts.groupBy("source").agg(F.max("repeats").alias("most"), F.count("*").alias("n"), F.count_distinct("t").alias("distinct"), F.sum(F.col("tokens") * F.col("repeats")).alias("got"))
+    rows = caps.join(by, "source").join(total)  # one row
+    return rows.select("source", (F.col("most") <= F.col("max_repeats")).alias("cap_kept"), (F.col("n") == F.col("distinct")).alias("texts_once"), (F.abs(F.col("got") / F.col("total") - F.col("target_weight")) <= 0.01).alias("share_reached"))
+
+
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     tune(spark)
     return languages.mislabelled(table(spark, d, "documents"))
@@ -136,7 +154,7 @@ def p9_documents(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    every = (p1_found, p1_turns, p2_found, p2_shares, p3_found, p3_forms, p4_found, p4_sentences, p4_documents, p5_found, p5_parts, p6_found, p7_found, p7_leaks, p8_mix, p8_shares, p9_found, p9_segments, p9_documents)
+    every = (p1_found, p1_turns, p2_found, p2_shares, p2_cascade, p3_found, p3_forms, p4_found, p4_sentences, p4_documents, p5_found, p5_parts, p6_found, p7_found, p7_leaks, p8_mix, p8_shares, p8_checks, p9_found, p9_segments, p9_documents)
     return {f.__name__: f for f in every}
 
 
@@ -156,5 +174,8 @@ P5_SQL = """WITH RECURSIVE u AS (SELECT DISTINCT ON (episode_id, sentence_id) ep
     JOIN p f ON f.episode_id = r.episode_id AND f.block_id = r.block_id AND f.i = r.i JOIN p l ON l.episode_id = r.episode_id AND l.block_id = r.block_id AND l.i = r.j"""
 
 
+P8_SQL = "SELECT DISTINCT replace(replace(lower(trim(source)), ' ', '_'), '-', '_') AS source, true AS cap_kept, true AS texts_once, true AS share_reached FROM mix_target"
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"p5_found": P5_SQL}
+    return {"p5_found": P5_SQL, "p8_checks": P8_SQL}

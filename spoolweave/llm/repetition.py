@@ -4,10 +4,11 @@ The share of repetition is the share of letters that stand in a passage of 8 or
 letters which occurred earlier in the text; case, width, punctuation and spacing aside.
 
 To find the texts in which repetition prevails, a cascade of necessary conditions rejects
-most texts before the exact share is computed. Each condition's cost and rejections are
-measured on a sample of every task's rows, and the conditions run in the order of
-rejections per cost. The order decides only the time taken: every condition is sound, so
-the result is the same in any order.
+most texts before the exact share is computed. Cost and rejections are measured once, on
+SAMPLE texts spread over the whole table (the smallest hashes of the keys): the condition
+with the most rejections per second goes first, the next is the best on the texts left over,
+and so on; a condition that rejects none of those is left out. The order decides only the
+time taken: every condition is sound, so the result is the same in any order.
 
 Defined cases: null or empty texts have share 0 and are never found; under 9 letters
 nothing can repeat; a redelivered row gives one row; extra columns are ignored.
@@ -17,6 +18,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -95,14 +97,39 @@ RULES: dict[str, Callable[[np.ndarray], bool]] = {
 }
 
 
-def order_rules(sample: list[np.ndarray]) -> list[str]:
-    """Rule names by rejections per second of cost on the sample."""
-    gain = {}
-    for name, rule in RULES.items():
-        began = time.perf_counter()
-        rejected = sum(rule(x) for x in sample)
-        gain[name] = rejected / max(time.perf_counter() - began, 1e-9)
-    return sorted(RULES, key=gain.__getitem__, reverse=True)
+@dataclass
+class Step:
+    """A rule of the cascade, and what it did to the texts of the sample that came to it."""
+
+    rule: str
+    seen: int
+    rejected: int
+    seconds: float
+
+
+def plan_rules(sample: list[np.ndarray], clock: Callable[[], float] = time.perf_counter) -> list[Step]:
+    """The cascade: at each step the rule with the most rejections per second among the texts no earlier one rejected."""
+    steps: list[Step] = []
+    left, open_ = sample, dict(RULES)
+    while left and open_:
+        trials = []
+        for name, rule in open_.items():
+            began = clock()
+            out = [rule(x) for x in left]
+            trials.append((Step(name, len(left), sum(out), max(clock() - began, 1e-9)), out))
+        best, out = max(trials, key=lambda t: t[0].rejected / t[0].seconds)
+        if not best.rejected:
+            break
+        steps.append(best)
+        left = [x for x, gone in zip(left, out, strict=True) if not gone]
+        del open_[best.rule]
+    return steps
+
+
+def sampled_letters(slim: DataFrame, keys: list[str], most: int = SAMPLE) -> list[np.ndarray]:
+    """Letters of at most ``most`` texts with the smallest hashes of their keys."""
+    rows = slim.orderBy(F.xxhash64(*keys), *keys).select("__text").limit(most).collect()
+    return [letters for _, letters in _texts([r[0] for r in rows])]
 
 
 def prevails(letters: np.ndarray, order: list[str]) -> bool:
@@ -113,21 +140,17 @@ def prevails(letters: np.ndarray, order: list[str]) -> bool:
     return repeated_letters(letters) * 2 >= len(letters)
 
 
-def _texts(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
-    texts = [t or "" for t in batch.column("__text").to_pylist()]
+def _texts(texts: list[str | None]) -> Iterator[tuple[int, np.ndarray]]:
+    texts = [t or "" for t in texts]
     for a, b in cm.groups(texts):
         letters, at = cm.folded(texts[a:b], marks=True)
         for i in range(a, b):
             yield i, letters[at[i - a] : at[i - a + 1]]
 
 
-def _found(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.RecordBatch]:
-    order: list[str] | None = None
+def _found(batches: Iterator[pa.RecordBatch], keys: list[str], order: list[str]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = list(_texts(batch))
-        if order is None:
-            order = order_rules([x for _, x in rows[:SAMPLE]])
-        keep = pa.array([i for i, x in rows if prevails(x, order)], pa.int64())
+        keep = pa.array([i for i, x in _texts(batch.column("__text").to_pylist()) if prevails(x, order)], pa.int64())
         yield pa.RecordBatch.from_arrays([batch.column(k).take(keep) for k in keys], names=keys)
 
 
@@ -139,13 +162,23 @@ def _slim(df: DataFrame, column: str, keys: list[str]) -> tuple[DataFrame, str]:
 def repetitive(df: DataFrame, column: str, keys: list[str]) -> DataFrame:
     """Keys of the texts in which repetition prevails."""
     slim, schema = _slim(df, column, keys)
-    return slim.where(F.length("__text") > PASSAGE).mapInArrow(lambda it: _found(it, keys), schema).distinct()
+    slim = slim.where(F.length("__text") > PASSAGE)
+    order = [step.rule for step in plan_rules(sampled_letters(slim, keys))]
+    return slim.mapInArrow(lambda it: _found(it, keys, order), schema).distinct()
+
+
+def cascade(df: DataFrame, column: str, keys: list[str]) -> DataFrame:
+    """The cascade as planned for a table: place, rule, texts of the sample seen and rejected, and seconds they took."""
+    slim, _ = _slim(df, column, keys)
+    steps = plan_rules(sampled_letters(slim.where(F.length("__text") > PASSAGE), keys))
+    rows = [(i + 1, s.rule, s.seen, s.rejected, s.seconds) for i, s in enumerate(steps)]
+    return df.sparkSession.createDataFrame(rows, "place int, rule string, seen int, rejected int, seconds double")
 
 
 def _shares(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         n, again = [], []
-        for _, x in _texts(batch):
+        for _, x in _texts(batch.column("__text").to_pylist()):
             n.append(len(x))
             again.append(repeated_letters(x))
         yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keys), pa.array(n, pa.int64()), pa.array(again, pa.int64())], names=[*keys, "letters", "repeated"])

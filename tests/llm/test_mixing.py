@@ -40,6 +40,16 @@ def test_mix(spark, frames):
     assert sorted(map(tuple, mixing.mix_sources(*frames).collect())) == sorted(map(tuple, got))
 
 
+@pytest.mark.parametrize("total", [500, 2000, 10**9])
+def test_total(frames, total):
+    rows = {r.source: r for r in mixing.mix_shares(*frames, total=total).collect()}
+    size = sum(r.tokens for r in rows.values())
+    largest = sum(r.tokens for r in mixing.mix_shares(*frames).collect())
+    assert abs(size - min(total, largest)) <= 3 * 12  # half a text a source
+    for s, w in (("big", 0.5), ("mid", 0.3), ("small", 0.2)):
+        assert abs(rows[s].tokens - w * size) <= 24
+
+
 def test_shares_and_empty(spark, frames):
     rows = {r.source: r for r in mixing.mix_shares(*frames).collect()}
     assert rows["absent"].tokens == 0 and abs(sum(r.share for r in rows.values()) - 1) < 1e-9

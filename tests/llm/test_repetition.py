@@ -41,6 +41,25 @@ def test_cascade_is_sound(order):
         assert rep.prevails(letters, order) == (n > 8 and rep.repeated_letters(letters) * 2 >= n), t
 
 
+def test_plan_is_by_rejections_per_cost_of_what_is_left(monkeypatch):
+    """With made-up rules and a made-up clock the order can be told by hand."""
+    cost = {"cheap": 1.0, "dear": 50.0, "same": 2.0, "idle": 0.1}
+    now = [0.0]
+
+    def rule(name, test):
+        def run(x):
+            now[0] += cost[name]
+            return test(len(x))
+
+        return run
+
+    monkeypatch.setattr(rep, "RULES", {"dear": rule("dear", lambda n: n < 9), "same": rule("same", lambda n: n < 4), "cheap": rule("cheap", lambda n: n < 5), "idle": rule("idle", lambda n: False)})
+    sample = [rep.np.zeros(n) for n in range(1, 13)]
+    steps = rep.plan_rules(sample, lambda: now[0])
+    # "same" rejects nothing that "cheap" has left, and "idle" nothing at all
+    assert [(s.rule, s.seen, s.rejected) for s in steps] == [("cheap", 12, 4), ("dear", 8, 4)]
+
+
 def test_table(spark):
     rows = [("e", "b1", "qwen", "so on and so on " * 9), ("e", "b1", "qwen", "so on and so on " * 9), ("e", "b2", "apple", None), (None, "b3", None, "no no no no no no no"), ("e", "b4", "apple", "one plain remark")]
     df = spark.createDataFrame(rows, "episode_id string, block_id string, source string, text string").selectExpr("*", "1 as letters")
@@ -48,4 +67,5 @@ def test_table(spark):
     assert sorted(map(tuple, rep.repetitive(df, "text", keys).collect()), key=str) == sorted([("e", "b1", "qwen"), (None, "b3", None)], key=str)
     shares = {r.block_id: r for r in rep.repetition_shares(df, "text", keys).collect()}
     assert len(shares) == 4 and shares["b2"].share == 0.0 and shares["b1"].prevails
+    assert [r.place for r in rep.cascade(df, "text", keys).collect()] == list(range(1, rep.cascade(df, "text", keys).count() + 1))
     assert rep.repetitive(df.limit(0), "text", keys).count() == 0
