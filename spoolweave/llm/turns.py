@@ -205,11 +205,11 @@ def roster_labels(roster: DataFrame) -> DataFrame:
     clean = roster.select("episode_id", "speaker_id", "display_name", "speaker_role").where("episode_id is not null and speaker_id is not null").distinct()
     keys = clean.mapInArrow(_label_keys, "episode_id string, speaker_id string, label_key string, rank int").distinct()
     best = keys.groupBy("episode_id", "label_key").agg(F.min(F.struct("rank", "speaker_id")).alias("lo"), F.min(F.struct("rank", F.expr("-hash(speaker_id)"), "speaker_id")).alias("hi"))
-    ranked = keys.join(best.select("episode_id", "label_key", F.col("lo.rank").alias("rank")), ["episode_id", "label_key", "rank"])
+    ranked = keys.join(best.select("episode_id", "label_key", F.col("lo.rank").alias("rank")).hint("merge"), ["episode_id", "label_key", "rank"])
     one = ranked.groupBy("episode_id", "label_key").agg(F.min("speaker_id").alias("speaker_id"), F.max("speaker_id").alias("other")).where("speaker_id = other")
     maps = one.groupBy("episode_id").agg(F.map_from_entries(F.collect_list(F.struct("label_key", "speaker_id"))).alias("labels"))
     people = clean.groupBy("episode_id").agg(F.array_sort(F.collect_set("speaker_id")).alias("speakers"))
-    return people.join(maps, "episode_id")
+    return people.join(maps.hint("merge"), "episode_id")
 
 
 def _flipped(speaker, times, speakers):
@@ -245,7 +245,8 @@ def spoken_units(units: DataFrame, roster: DataFrame, text_too: bool = False, bl
     )
     ends = ends.withColumn("from", F.last("final", ignorenulls=True).over(before))
     carry = ends.select("episode_id", "block", _flipped(F.col("from.who"), F.col("total") - F.col("n") - F.col("from.total"), F.col("sp")).alias("carried"))
-    rows = rows.join(carry, ["episode_id", "block"])
+    # the carried states grow with the recordings, so they are never broadcast
+    rows = rows.join(carry.hint("merge"), ["episode_id", "block"])
     speaker = F.when(F.col("set_by").isNotNull(), _flipped(F.col("set_by.label"), F.col("flips") - F.col("set_by.at"), F.col("speakers"))).otherwise(
         _flipped(F.col("carried"), F.col("flips"), F.col("speakers"))
     )
