@@ -7,10 +7,11 @@ local, and one summary row a block carries what the next block needs.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import reduce
 from typing import Any
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -72,7 +73,36 @@ def carry_last(df: DataFrame, keys: list[str], order: list[str], value: Column,
     return neighbours(df, keys, order, **{"after" if ahead else "before": {name: value}})
 
 
-Fold = Callable[[pd.DataFrame, Any], "tuple[pd.DataFrame, Any]"]
+#: Output columns (a frame, or lists by name) and state after some rows and the state before them.
+Fold = Callable[[pd.DataFrame, Any], "tuple[pd.DataFrame | dict[str, list], Any]"]
+
+
+def map_groups(df: DataFrame, by: list[str], order: list[str], fn: Callable[[pd.DataFrame], list[dict]], schema: str) -> DataFrame:
+    """Rows that a function makes of each sorted group.
+
+    Groups are told apart in a sorted stream rather than handed over one by one: with many
+    small groups a call of its own for each would cost more than their rows.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names = [f.split()[0].strip("`") for f in _split(schema)]
+        rest: pd.DataFrame | None = None
+        for pdf in batches:
+            pdf = pdf if rest is None else pd.concat([rest, pdf], ignore_index=True)
+            if not len(pdf):
+                continue
+            # the codes of a null are equal to each other
+            codes = np.stack([pd.factorize(pdf[c])[0] for c in by])
+            starts = np.flatnonzero(np.concatenate(([True], (codes[:, 1:] != codes[:, :-1]).any(axis=0))))
+            rows = [row for a, b in zip(starts, starts[1:], strict=False) for row in fn(pdf.iloc[a:b])]
+            rest = pdf.iloc[starts[-1] :]
+            if rows:
+                yield pd.DataFrame(rows, columns=names)
+        rows = fn(rest) if rest is not None else []
+        if rows:
+            yield pd.DataFrame(rows, columns=names)
+
+    return df.repartition(*by).sortWithinPartitions(*by, *order).mapInPandas(run, schema)
 
 
 #: Share of a block before it that a fold runs through to guess the state at its start.
@@ -100,18 +130,18 @@ def forgetful_fold(df: DataFrame, keys: list[str], order: list[str], fold: Fold,
     result_schema = f"{key_schema}, {BLOCK} bigint, __in {state}, __after {state}, __rows array<struct<{_fields(out)}>>"
     names = [f.split()[0].strip("`") for f in _split(out)]
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order, kind="stable")
-        own = pdf["__own"].to_numpy()
+    def run(pdf: pd.DataFrame) -> list[dict]:
+        own = pdf["__own"].to_numpy(dtype=bool)
         if not own.any():
-            return pd.DataFrame(columns=[*keys, BLOCK, "__in", "__after", "__rows"])
+            return []
         before = pdf["__in"].iloc[-1]
         before = None if before is None or (not isinstance(before, (list, dict, tuple)) and pd.isna(before)) else before
         if not own.all():
             before = fold(pdf[~own], None)[1]
-        first = pdf[own].iloc[0]
-        rows, after = fold(pdf[own], before)
-        return pd.DataFrame([{**{k: first[k] for k in keys}, BLOCK: first[BLOCK], "__in": before, "__after": after, "__rows": rows[names].to_dict("records")}])
+            pdf = pdf[own]
+        rows, after = fold(pdf, before)
+        listed = rows[names].to_dict("records") if isinstance(rows, pd.DataFrame) else [dict(zip(names, r, strict=True)) for r in zip(*(rows[n] for n in names), strict=True)]
+        return [{**{k: pdf[k].iloc[0] for k in keys}, BLOCK: pdf[BLOCK].iloc[0], "__in": before, "__after": after, "__rows": listed}]
 
     rows = df.withColumn("__in", F.lit(None).cast(state))
     if width is None:
@@ -120,7 +150,7 @@ def forgetful_fold(df: DataFrame, keys: list[str], order: list[str], fold: Fold,
         late = F.col(order[0]) / width - F.col(BLOCK) >= 1 - WARM_UP
         warm = rows.withColumn("__for", F.explode(F.when(late, F.array(F.col(BLOCK), F.col(BLOCK) + 1)).otherwise(F.array(BLOCK))))
     warm = warm.withColumn("__own", F.col("__for") == F.col(BLOCK))
-    parts = [cut(warm.groupBy(*keys, "__for").applyInPandas(run, result_schema))]
+    parts = [cut(map_groups(warm, [*keys, "__for"], order, run, result_schema))]
     across = Window.partitionBy(*keys).orderBy(BLOCK)
     # each round settles at least the first stale block of a group, so as many rounds as blocks are enough
     while True:
@@ -129,7 +159,7 @@ def forgetful_fold(df: DataFrame, keys: list[str], order: list[str], fold: Fold,
         stale = cut(incoming.where(~F.col("__in").eqNullSafe(F.col("__new"))).select(*keys, BLOCK, F.col("__new").alias("__in")))
         if stale.isEmpty():
             return done.select(*keys, F.inline("__rows"))
-        again = df.join(stale, [*keys, BLOCK]).withColumn("__own", F.lit(True)).groupBy(*keys, BLOCK).applyInPandas(run, result_schema)
+        again = map_groups(df.join(stale, [*keys, BLOCK]).withColumn("__own", F.lit(True)), [*keys, BLOCK], order, run, result_schema)
         parts = [p.join(stale.select(*keys, BLOCK), [*keys, BLOCK], "left_anti") for p in parts] + [cut(again)]
         if len(parts) > ROUNDS_A_WRITE:
             parts = [cut(reduce(DataFrame.unionByName, parts))]

@@ -203,7 +203,7 @@ def _islands(rows: DataFrame) -> DataFrame:
 OPEN = "struct<head:string,start:double,size:int,last_end:double,hinted:boolean>"
 
 
-def _group(rows: pd.DataFrame, state: Any, least: int, most: int, min_s: float, max_s: float) -> tuple[pd.DataFrame, Any]:
+def _group(rows: pd.DataFrame, state: Any, least: int, most: int, min_s: float, max_s: float) -> tuple[dict[str, list], Any]:
     """Append each unit to the open group or begin a new one with it.
 
     A group is closed once it has the least count and duration. It is also closed before a
@@ -225,8 +225,7 @@ def _group(rows: pd.DataFrame, state: Any, least: int, most: int, min_s: float,
             head, start, size = sid, s, 1
         last_end, hinted = e, bool(short)
         heads.append(head)
-    out = rows[["sentence_id"]].assign(head=heads)
-    return out, {"head": head, "start": float(start), "size": int(size), "last_end": float(last_end), "hinted": bool(hinted)}
+    return {"sentence_id": rows["sentence_id"].tolist(), "head": heads}, {"head": head, "start": float(start), "size": int(size), "last_end": float(last_end), "hinted": bool(hinted)}
 
 
 def merge_blocks(
@@ -362,34 +361,33 @@ def clamp_times(df: DataFrame, key: str, ident: str, order: list[str], width: fl
     by = ["__id" if o == ident else o for o in order]
     rows = od.with_blocks(slim, by[0], width).withColumn("start_sec", F.col("start_sec").cast("double")).withColumn("end_sec", F.col("end_sec").cast("double"))
 
-    def summed(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(by, kind="stable")
+    def summed(pdf: pd.DataFrame) -> list[dict]:
         limits, values, pushed = _clamp_function(pdf)
-        return pd.DataFrame([{key: pdf[key].iloc[0], od.BLOCK: pdf[od.BLOCK].iloc[0], "limits": limits, "values": values, "pushed": pushed, "alone": _clamp(pdf, None)[1][-1]}])
+        return [{key: pdf[key].iloc[0], od.BLOCK: pdf[od.BLOCK].iloc[0], "limits": limits, "values": values, "pushed": pushed, "alone": _clamp(pdf, None)[1][-1]}]
 
-    def scanned(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf, ends, end = pdf.sort_values(od.BLOCK), [], None
-        for limits, values, pushed, alone in zip(pdf["limits"], pdf["values"], pdf["pushed"], pdf["alone"], strict=True):
-            ends.append(end)
+    def scanned(pdf: pd.DataFrame) -> list[dict]:
+        rows, end = [], None
+        for k, block, limits, values, pushed, alone in zip(*(pdf[c] for c in (key, od.BLOCK, "limits", "values", "pushed", "alone")), strict=True):
+            rows.append({key: k, od.BLOCK: block, "before": end})
             end = float(alone) if end is None else _clamped_end(list(limits), list(values), int(pushed), end)
-        return pdf[[key, od.BLOCK]].assign(before=pd.Series(ends, index=pdf.index, dtype="float64"))
+        return rows
 
-    def clamped(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(by, kind="stable")
+    def clamped(pdf: pd.DataFrame) -> list[dict]:
         before = pdf["before"].iloc[0]
         starts, ends = _clamp(pdf, None if pd.isna(before) else float(before))
-        return pdf[[key, "__id"]].assign(start_clamped=starts, end_clamped=ends)
+        return [{key: k, "__id": i, "start_clamped": s, "end_clamped": e} for k, i, s, e in zip(pdf[key], pdf["__id"], starts, ends, strict=True)]
 
-    functions = rows.groupBy(key, od.BLOCK).applyInPandas(summed, f"`{key}` {key_kind}, {od.BLOCK} bigint, limits array<double>, values array<double>, pushed int, alone double")
-    before = functions.groupBy(key).applyInPandas(scanned, f"`{key}` {key_kind}, {od.BLOCK} bigint, before double")
-    done = rows.join(before, [key, od.BLOCK]).groupBy(key, od.BLOCK).applyInPandas(clamped, f"`{key}` {key_kind}, __id {kind}, start_clamped double, end_clamped double")
+    block = [key, od.BLOCK]
+    functions = od.map_groups(rows, block, by, summed, f"`{key}` {key_kind}, {od.BLOCK} bigint, limits array<double>, values array<double>, pushed int, alone double")
+    before = od.map_groups(functions, [key], [od.BLOCK], scanned, f"`{key}` {key_kind}, {od.BLOCK} bigint, before double")
+    done = od.map_groups(rows.join(before, block), block, by, clamped, f"`{key}` {key_kind}, __id {kind}, start_clamped double, end_clamped double")
     return done.withColumnRenamed("__id", ident)
 
 
 # --- older segmenters
 
 
-def _short(rows: pd.DataFrame, state: Any) -> tuple[pd.DataFrame, Any]:
+def _short(rows: pd.DataFrame, state: Any) -> tuple[dict[str, list], Any]:
     """Join a chunk to the one before while either is short and both together stay small."""
     head, start, end, size = (state["head"], state["start"], state["end"], state["size"]) if state else (None, 0.0, 0.0, 0)
     heads = []
@@ -400,7 +398,7 @@ def _short(rows: pd.DataFrame, state: Any) -> tuple[pd.DataFrame, Any]:
         else:
             head, start, end, size = cid, s, e, n
         heads.append(head)
-    return rows[["chunk_id"]].assign(head=heads), {"head": head, "start": float(start), "end": float(end), "size": int(size)}
+    return {"chunk_id": rows["chunk_id"].tolist(), "head": heads}, {"head": head, "start": float(start), "end": float(end), "size": int(size)}
 
 
 def merge_short_chunks(df: DataFrame, width: float = BLOCK_SECONDS) -> DataFrame:
