@@ -591,6 +591,58 @@ def h_dominant(spark, d):
     return candidates(spark, d).groupBy(*BLOCK).agg(efforts.alias("m")).select(*BLOCK, reports.dominant(F.col("m"), ("apple",)).alias("widest")).where("widest is not null")
 
 
+_STRIP = f"regexp_replace(coalesce(text, ''), '^{WS}+|{WS}+$', '', 'g')"
+
+
+def any_of(test: str, column: str, parts) -> str:
+    return "(" + " OR ".join(f"{test}({column}, {lit(p)})" for p in parts) + ")" if parts else "false"
+
+
+@query(
+    f"""SELECT episode_id, block_id, source, {any_of("starts_with", "s", tb.SUSPECT_PREFIXES)} OR {any_of("ends_with", "s", tb.SUSPECT_SUFFIXES)} AS suspect,
+    length(s) > 0 AND (regexp_matches(right(s, 4), {lit(tb.TRAILING_FRAGMENT)}) OR {any_of("ends_with", "s", tb.TRAILING_FRAGMENTS)}) AS cut_off,
+    CASE WHEN s = '' OR {any_of("contains", "s", HARD)} THEN 'human_required' WHEN {any_of("contains", "s", SOFT)} OR starts_with(s, '、') OR starts_with(s, '。') OR {any_of("ends_with", "s", tb.BAD_SUFFIXES)} THEN 'machine_note' END AS level
+    FROM (SELECT *, {_STRIP} AS s FROM {C})"""
+)
+def t_edges(spark, d):
+    """T12, T18 and T20 over all candidates."""
+    text = F.col("text")
+    return candidates(spark, d).select(*CAND, tx.suspect_edge(text).alias("suspect"), tx.trailing_cut(text).alias("cut_off"), tx.pattern_level(text, HARD, SOFT).alias("level"))
+
+
+@query(
+    f"""SELECT episode_id, sentence_id, sha256(text) AS hash, array_to_string(regexp_extract_all(coalesce(text, ''), '[\\x{{3040}}-\\x{{30FF}}\\x{{4E00}}-\\x{{9FFF}}々ー]+'), '|') AS runs,
+    CASE WHEN display_text IS NOT NULL AND NOT regexp_full_match(display_text, '{WS}*') THEN display_text WHEN raw_text IS NOT NULL AND NOT regexp_full_match(raw_text, '{WS}*') THEN raw_text
+        WHEN text IS NOT NULL AND NOT regexp_full_match(text, '{WS}*') THEN text ELSE '' END AS shown FROM {U}"""
+)
+def t_values(spark, d):
+    """T21, T23 and T24 over all units."""
+    text = F.col("text")
+    return units(spark, d).select(*UNIT, tx.stable_hash(text).alias("hash"), F.array_join(tx.japanese_word_runs(text), "|").alias("runs"), tx.first_filled(F.col("display_text"), F.col("raw_text"), text, default="").alias("shown"))
+
+
+@query(f"SELECT request_id, array_to_string(coalesce(review_reason, []), '|') AS reasons, len(coalesce(review_reason, [])) AS n FROM (SELECT DISTINCT ON (request_id) * FROM llm_decision)")
+def t_reasons(spark, d):
+    """Reasons as lists, null as empty."""
+    reasons = tx.reason_list(F.col("review_reason"))
+    return table(spark, d, "llm_decision").dropDuplicates(["request_id"]).select("request_id", F.array_join(reasons, "|").alias("reasons"), F.size(reasons).cast("bigint").alias("n"))
+
+
+@query(
+    f"""WITH f AS (SELECT episode_id, unnest(coalesce(unusable_reason, ['none'])) AS r, source FROM {C} WHERE source = 'qwen'),
+    k AS (SELECT episode_id, array_to_string(list(r || ':' || n ORDER BY r), '|') AS flags FROM (SELECT episode_id, r, count(*) AS n FROM f GROUP BY ALL) GROUP BY episode_id),
+    b AS (SELECT episode_id, count(*) AS block_count, count(*) FILTER (coalesce(boundary_contamination, false)) AS needs_review_count, count(*) FILTER (NOT coalesce(boundary_contamination, false)) AS auto_accepted_count FROM {C} WHERE source = 'qwen' GROUP BY episode_id)
+    SELECT b.*, flags FROM b LEFT JOIN k USING (episode_id)"""
+)
+def v_flag_summary(spark, d):
+    """V7, H1 and H2: verdicts and flags of an episode's blocks, on the primary candidates' reasons."""
+    rows = candidates(spark, d).where("source = 'qwen'").select(
+        *BLOCK, risk.no(F.col("boundary_contamination")).alias("needs_review"), F.coalesce("unusable_reason", F.array(F.lit("none"))).alias("risk_flags"), F.lit("x").alias("qwen_apple_difference_type")
+    )
+    flags = F.array_join(F.transform(F.map_entries("risk_flag_counts"), lambda e: F.concat_ws(":", e["key"], e["value"].cast("string"))), "|")
+    return reports.flag_summary(rows).select("episode_id", "block_count", "needs_review_count", "auto_accepted_count", flags.alias("flags"))
+
+
 # --- sources, outputs, arbitration, spans
 
 _ENGINES = ", ".join(lit(e) for e in tb.ENGINE_SUFFIX)
