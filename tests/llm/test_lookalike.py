@@ -1,4 +1,5 @@
 import itertools
+from types import SimpleNamespace
 
 import pytest
 
@@ -52,6 +53,42 @@ def test_unicode_classes(spark):
     assert la.forms(["Ꭺ map"], classes) == ["A map"] and la.forms(["A map"], classes) == ["A map"]
 
 
+class _Jvm:
+    """Spark's JVM with another package com."""
+
+    def __init__(self, jvm, com):
+        self._all, self.com = jvm, com
+
+    def __getattr__(self, name):
+        return getattr(self._all, name)
+
+
+def _answering(shapes):
+    checker = SimpleNamespace(getSkeleton=shapes)
+    builder = SimpleNamespace(build=lambda: checker)
+    return SimpleNamespace(ibm=SimpleNamespace(icu=SimpleNamespace(text=SimpleNamespace(SpoofChecker=SimpleNamespace(Builder=lambda: builder)))))
+
+
+@pytest.mark.parametrize(
+    ("com", "message"),
+    [
+        (None, "cannot be read"),  # no such library
+        (_answering(lambda text: 1 / 0), "cannot be read"),
+        (_answering(lambda text: text + "\nx"), "shapes for"),
+        (_answering(lambda text: text), "no confusables data"),
+    ],
+)
+def test_no_classes_is_an_error(spark, monkeypatch, com, message):
+    sc = spark.sparkContext
+    df = spark.createDataFrame([("e", "s1", "There were 12 ways to Ꭺ copy the map."), ("e", "s2", "There were 12 ways to A copy the map.")], "episode_id string, sentence_id string, text string")
+    whole = la.look_pairs(la.look_prints(df, "text", ["episode_id", "sentence_id"]), ["episode_id"], "sentence_id").collect()
+    assert [tuple(r) for r in whole] == [("e", "s1", "s2")]
+    monkeypatch.setattr(sc, "_jvm", _Jvm(sc._jvm, com or sc._jvm.absent))
+    for of in (la.look_prints, la.consistent_text):
+        with pytest.raises(RuntimeError, match=message):
+            of(df, "text", ["episode_id", "sentence_id"])
+
+
 def test_pairs(spark):
     base = "There were 12 ways to copy the map."
     rows = [
