@@ -1,11 +1,13 @@
 import difflib
 import random
+import time
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 from spoolweave.functions import similarity as sm
+from spoolweave.operators import alignment
 
 
 def words(seed, n=60):
@@ -47,3 +49,22 @@ def test_prefix_and_result(spark):
 def test_containment(spark):
     df = spark.createDataFrame([("あ、い", ["うあいえ"]), ("か", ["うあいえ"])], "f string, c array<string>")
     assert [r[0] for r in df.select(sm.contained_in_any(F.col("f"), F.col("c"))).collect()] == [True, False]
+
+
+def test_matching_runs_are_those_of_the_matcher():
+    rng = random.Random(5)
+    for n in range(400):
+        letters = rng.choice(["ab", "abcdefgh", "あいうab"])
+        a = "".join(rng.choice(letters) for _ in range(rng.randint(0, 90)))
+        b = "".join(rng.choice(letters) for _ in range(rng.randint(0, 90))) if n % 2 else "".join(c if rng.random() > 0.1 else rng.choice(["", "x", c + c]) for c in a)
+        found = difflib.SequenceMatcher(None, a, b, autojunk=False).get_opcodes()
+        assert alignment.equal_runs(a, b) == [(i, k, j - i) for tag, i, j, k, _ in found if tag == "equal"]
+
+
+def test_long_similar_texts_take_time_by_length():
+    rng = random.Random(6)
+    a = "".join(rng.choice("abcdefghijkl") for _ in range(20_000))
+    b = "".join(c if rng.random() > 0.02 else rng.choice(["", "x", c + c]) for c in a)
+    began = time.process_time()
+    matched = sum(n for _, _, n in alignment.equal_runs(b, a))
+    assert matched > 0.97 * len(a) and time.process_time() - began < 5
