@@ -117,3 +117,40 @@ def test_chunks_read_what_whole_texts_hold(spark):
     for swapped in (True, False):
         whole, parts = (sorted(map(str, sp.block_candidates(blocks, texts, aligned, swapped=swapped, chunk_chars=n).collect())) for n in (1_000_000, 100))
         assert whole == parts and len(whole) == 62
+
+
+def plain_cheap_span(target, asr, start, end, radius=24):
+    """The cheap look without bounds: every span in order, the first of the best by score and drift."""
+    n, size = len(asr), max(len(target), 1)
+    right, least = min(n, end + radius), max(1, int(size * 0.75))
+    best = None
+    for s in range(max(0, start - radius), min(right, n - 1) + 1, 2):
+        for e in dict.fromkeys(min(n, s + k) for k in range(least, max(least, int(size * 1.35)) + 1, 2)):
+            if s < e <= right:
+                ratio = difflib.SequenceMatcher(None, target, asr[s:e], autojunk=False).ratio() if target else 0.0
+                fit = 1.0 - min(1.0, abs(e - s - size) / max(size, e - s, 1))
+                key = (-max(0.0, min(1.0, 0.82 * ratio + 0.18 * fit)), abs(s - start) + abs(e - end))
+                if best is None or key < best[:2]:
+                    best = (*key, s, e)
+    return (best[2], best[3], -best[0]) if best else (start, end, 0.0)
+
+
+def test_cheap_span_equals_plain_look_with_few_ratios(monkeypatch):
+    rng = random.Random(12)
+    taken, ratio = [], sp.ratio_value
+    monkeypatch.setattr(sp, "ratio_value", lambda a, b: taken.append(1) or ratio(a, b))
+    looked = 0
+    for _ in range(40):
+        body = text(rng, rng.choice([0, 1, 5, 30, 60]))
+        noisy = "".join(c if rng.random() > 0.05 else rng.choice(["", "x", c + c]) for c in body)
+        asr = text(rng, rng.choice([0, 7, 60])) + noisy + text(rng, rng.choice([0, 3, 60]))
+        start = rng.randint(0, len(asr) + 3)
+        for target in (body, noisy, text(rng, 9), "abab"):
+            assert sp.cheap_span(target, asr, start, start + len(target)) == plain_cheap_span(target, asr, start, start + len(target))
+    taken.clear()
+    for _ in range(20):
+        body = text(rng, 60)
+        asr = text(rng, 60) + body[:30] + "x" + body[31:] + text(rng, 60)
+        looked += 1
+        assert sp.cheap_span(body, asr, 57, 117)[2] > 0.95
+    assert len(taken) < 30 * looked
