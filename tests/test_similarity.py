@@ -68,3 +68,17 @@ def test_long_similar_texts_take_time_by_length():
     began = time.process_time()
     matched = sum(n for _, _, n in alignment.equal_runs(b, a))
     assert matched > 0.97 * len(a) and time.process_time() - began < 5
+
+
+def test_ratios_to_many_stretches_share_their_parts():
+    rng = random.Random(7)
+    for letters in ("ab", "abcdefghijkl"):
+        a, b = ("".join(rng.choice(letters) for _ in range(n)) for n in (25, 60))
+        many = sm.Matched(a, b)
+        for x in range(0, 60, 3):
+            for y in range(x, 61):
+                assert many.ratio(x, y) == (difflib.SequenceMatcher(None, a, b[x:y], autojunk=False).ratio() if x < y else 0.0)
+    assert sm.Matched("", "abc").ratio(0, 2) == 0.0 and sm.Matched("bc", "abc").ratio(1, 3) == 1.0
+    # every run is one character: no nesting by the length of the text
+    a, b = "".join(chr(0x4E00 + i) for i in range(3000)), "".join(chr(0x4E00 + i) + "x" for i in range(3000))
+    assert sm.Matched(a, b).ratio(0, 6000) == 2 * 3000 / 9000
