@@ -7,6 +7,7 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
+from spoolweave.functions import tables as tb
 from spoolweave.operators import joins, reports, validation
 from spoolweave.operators import ordered as od
 from spoolweave.plans import pipeline
@@ -150,3 +151,29 @@ def test_stream(spark, tmp_path):
     q = incremental.flag_counts(stream).writeStream.format("memory").queryName("flags").outputMode("complete").trigger(availableNow=True).start()
     q.awaitTermination()
     assert spark.table("flags").agg(F.sum("count")).first()[0] == 3 + 3 + 2
+
+
+def test_anchor_sources_are_read_once(spark, tmp_path):
+    """Archive, final segments with gaps, fallback text and nothing; the contents pass through the plan once."""
+    part = {"index": 0, "startSeconds": 1.0, "endSeconds": None, "text": "か\u3099あ", "confidence": None}
+    files = {
+        "a" + tb.RAW_ZIP_SUFFIX: archive({"results": [{"text": "abc", "startSeconds": 0, "endSeconds": 3}, 7]}),
+        "a" + tb.FINAL_JSON_SUFFIX: json.dumps({"segments": [part]}).encode(),
+        "b" + tb.RAW_ZIP_SUFFIX: archive({"x": 1}),
+        "b" + tb.VOLATILE_ZIP_SUFFIX: archive([]),
+        "b" + tb.FINAL_JSON_SUFFIX: json.dumps({"segments": [part, {"text": None}, None]}).encode(),
+        "c" + tb.FALLBACK_TEXT_SUFFIX: "か\u3099い".encode(),
+        "d" + tb.ENGINE_SUFFIX["qwen"]: b"q",
+    }
+    for name, content in files.items():
+        (tmp_path / name).write_bytes(content)
+    df = episodes.anchor_timeline(episodes.list_files(spark, str(tmp_path), content=True))
+    rows = {r.episode_id: r for r in df.collect()}
+    assert {k: r.full_text for k, r in rows.items()} == {"a": "abc", "b": "があ", "c": "がい", "d": ""}
+    assert {k: r.has_snapshots for k, r in rows.items()} == {"a": 0, "b": 1, "c": 0, "d": 0} and rows["d"].timeline is None and rows["c"].source_file is None
+    assert [x.start_sec for x in rows["a"].timeline] == [0.0, 1.0, 2.0] and rows["c"].timeline[-1].end_sec == 0.1
+    assert rows["b"].timeline[0].confidence == tb.DEFAULT_CONFIDENCE and rows["b"].timeline[0].start_sec == 1.0 and len(rows["b"].timeline) == 3
+    spark.conf.set("spark.sql.debug.maxToStringFields", 1000)
+    plan = df.where("length(full_text) > 0 and source_file is not null").select("full_text", F.size("timeline"))._jdf.queryExecution().optimizedPlan().toString()
+    spark.conf.unset("spark.sql.debug.maxToStringFields")
+    assert plan.count("min_by(") == 4
